@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lekhani.llm import encode, mixing, repetition, sitelines, splitting
+from lekhani.llm import encode, language, mixing, pagebody, quality, repetition, sitelines, splitting
 
 #: Rows of split_sizes and mix_targets are configuration; more than this is refused.
 MAX_SETTINGS = 1000
@@ -66,8 +66,42 @@ def p9_shares(spark, d):
     return mixing.reached_shares(*_mixture(spark, d))
 
 
+def _language_parts(spark, d):
+    lid, names = _table(spark, d, "lid"), _table(spark, d, "lang_names")
+    model = language.train(lid, names)
+    once = lid.select("doc_id", language.named_language(F.col("language"), names).alias("named"), "text").where("text is not null").distinct()
+    return language.language_parts(once, model, ["doc_id", "named"])
+
+
+def p7_found(spark, d):
+    return language.foreign_lines(_language_parts(spark, d))
+
+
+def p7_documents(spark, d):
+    return language.document_languages(_language_parts(spark, d))
+
+
+def p4_found(spark, d):
+    return pagebody.main_content(_table(spark, d, "raw_crawl")).select("doc_id", "block_md5").distinct()
+
+
+def p4_text(spark, d):
+    blocks = pagebody.main_content(_table(spark, d, "raw_crawl")).select("doc_id", "block_no", "text").distinct()
+    lines = F.transform(F.sort_array(F.collect_list(F.struct("block_no", "text"))), lambda x: x["text"])
+    return blocks.groupBy("doc_id").agg(F.array_join(lines, "\n").alias("text"))
+
+
+def p6_found(spark, d):
+    return quality.text_kinds(_table(spark, d, "cleaned"))
+
+
+def p6_statistics(spark, d):
+    return quality.text_statistics(_table(spark, d, "cleaned"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_repetition, p3_found, p3_clean, p8_ids, p9_mixture, p9_shares, p10_pieces)
+    f.__name__: f
+    for f in (p1_found, p1_repetition, p3_found, p3_clean, p4_found, p4_text, p6_found, p6_statistics, p7_found, p7_documents, p8_ids, p9_mixture, p9_shares, p10_pieces)
 }
 
 ORACLES: dict[str, str] = {}
