@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lekhani.llm import encode, language, mixing, pagebody, quality, repetition, sitelines, splitting
+from lekhani.llm import encode, language, mixing, pagebody, quality, repetition, sitelines, splitting, toxicity
 
 #: Rows of split_sizes and mix_targets are configuration; more than this is refused.
 MAX_SETTINGS = 1000
@@ -99,9 +99,27 @@ def p6_statistics(spark, d):
     return quality.text_statistics(_table(spark, d, "cleaned"))
 
 
+def _scored(spark, d):
+    docs = _table(spark, d, "documents")
+    model = toxicity.train(docs, _table(spark, d, "toxic_labels"), _table(spark, d, "flag_terms"))
+    return toxicity.score_documents(docs, model, ["doc_id", "source"])
+
+
+def p5_found(spark, d):
+    return toxicity.offending(_scored(spark, d))
+
+
+def p5_scores(spark, d):
+    return _scored(spark, d)
+
+
+def p5_rates(spark, d):
+    return toxicity.rates(_scored(spark, d))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_repetition, p3_found, p3_clean, p4_found, p4_text, p6_found, p6_statistics, p7_found, p7_documents, p8_ids, p9_mixture, p9_shares, p10_pieces)
+    for f in (p1_found, p1_repetition, p3_found, p3_clean, p4_found, p4_text, p5_found, p5_scores, p5_rates, p6_found, p6_statistics, p7_found, p7_documents, p8_ids, p9_mixture, p9_shares, p10_pieces)
 }
 
 ORACLES: dict[str, str] = {}
