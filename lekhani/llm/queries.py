@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lekhani.llm import encode, language, mixing, pagebody, quality, repetition, sitelines, splitting, toxicity
+from lekhani.llm import encode, language, mixing, ocr, pagebody, quality, repetition, sitelines, splitting, toxicity
 
 #: Rows of split_sizes and mix_targets are configuration; more than this is refused.
 MAX_SETTINGS = 1000
@@ -27,6 +27,14 @@ def p1_repetition(spark, d):
     return scored.select("doc_id", "n_words", "repeated_words", F.round("repeated_share", 6).alias("repeated_share"), *[r.name for r in repetition.DEFAULT_RULES])
 
 
+def p2_found(spark, d):
+    return ocr.noise_items(_table(spark, d, "raw_ocr"))
+
+
+def p2_pages(spark, d):
+    return ocr.repaired_pages(_table(spark, d, "raw_ocr"))
+
+
 def p3_found(spark, d):
     return sitelines.repeated_site_lines(_table(spark, d, "extracted"))
 
@@ -119,7 +127,7 @@ def p5_rates(spark, d):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_repetition, p3_found, p3_clean, p4_found, p4_text, p5_found, p5_scores, p5_rates, p6_found, p6_statistics, p7_found, p7_documents, p8_ids, p9_mixture, p9_shares, p10_pieces)
+    for f in (p1_found, p1_repetition, p2_found, p2_pages, p3_found, p3_clean, p4_found, p4_text, p5_found, p5_scores, p5_rates, p6_found, p6_statistics, p7_found, p7_documents, p8_ids, p9_mixture, p9_shares, p10_pieces)
 }
 
 ORACLES: dict[str, str] = {}
