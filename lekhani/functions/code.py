@@ -34,7 +34,8 @@ def code_spans(text: Column) -> Column:
     none = F.array().cast("array<array<int>>")
     braces = F.instr(text, "{") > 0
     spans = F.concat(_spans_of(text, TAG_PAIR), F.when(braces, _spans_of(text, SCRIPT_FUNCTION)).otherwise(none), F.when(braces, _spans_of(text, STYLE_RULE)).otherwise(none))
-    return F.when(F.size(spans) > 0, spans)
+    # bound once, so that no pattern is matched twice
+    return F.element_at(F.transform(F.array(spans), lambda s: F.when(F.size(s) > 0, s)), 1)
 
 
 def code_spans_checked(text: Column) -> Column:

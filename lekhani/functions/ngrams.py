@@ -39,7 +39,8 @@ def char_repetition(text: Column, n: int) -> Column:
         add = lambda a: F.aggregate(a, F.lit(0), lambda x, y: x + y)
         return add(best) / add(counts)
 
-    return F.when(F.length(text) >= n, _let(_counts(_hashes(chars, n)), score))
+    # each step is bound once; an expression inside a lambda would be evaluated per element
+    return F.when(F.length(text) >= n, _let(chars, lambda c: _let(_counts(_hashes(c, n)), score)))
 
 
 def tokenize(text: Column) -> Column:

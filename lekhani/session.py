@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,3 +47,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder."""
     use_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Gives the executors' Python workers this package, unless their path has it."""
+    root = Path(__file__).resolve().parent
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED or str(root.parent) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    # a driver's file that Spark itself hands out
+    archive = Path(tempfile.mkdtemp(prefix="lekhani-")) / "lekhani.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(app)
