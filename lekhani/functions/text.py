@@ -117,7 +117,10 @@ def keep_properly_ended(text: Column) -> Column:
 def split_sentences(text: Column) -> Column:
     """Pieces that end with one delimiter and the line feeds after it; the rest,
     also an empty one, is the last piece."""
-    return F.split(text, rf"(?<={DELIMITER_CLASS})(?!\n)|(?<={DELIMITER_CLASS}\n{{1,1000}})(?!\n)", -1)
+    # \\G: a match begins where the last one ended, so a long rest without marks is read once
+    whole = F.regexp_extract_all(text, F.lit(rf"\G[^{DELIMITER_CLASS[1:-1]}]*+{DELIMITER_CLASS}\n*+"), F.lit(0))
+    # bound once: the rest begins where the whole pieces end
+    return F.element_at(F.transform(F.array(whole), lambda w: F.concat(w, F.array(F.substring(text, F.length(F.array_join(w, "")) + 1, F.length(text))))), 1)
 
 
 def foreign_char_count(text: Column) -> Column:
