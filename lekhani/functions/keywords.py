@@ -35,8 +35,9 @@ def hit_positions(text: Column, terms: list[str]) -> Column:
     start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
 
     def step(a: Column, m: Column) -> Column:
-        # the next occurrence with word borders on both sides
-        begin = F.regexp_instr(F.substring(text, a["at"] + 1, F.length(text)), F.lit(pattern(terms) or r"(?!)")) - 1 + a["at"]
+        # what stands before the next hit, in code points
+        ahead = F.regexp_extract(F.substring(text, a["at"] + 1, F.length(text)), r"(?s)\A(.*?)" + (pattern(terms) or "(?!)"), 1)
+        begin = a["at"] + F.length(ahead)
         end = begin + F.length(m)
         return F.struct(end.cast("int").alias("at"), F.concat(a["out"], F.array(F.struct(F.lower(m).alias("term"), begin.cast("int").alias("start"), end.cast("int").alias("end")))).cast(kind).alias("out"))
 

@@ -14,7 +14,7 @@ def write_parquet(df: DataFrame, path: str, compression: str = "gzip") -> None:
 def write_by_language(df: DataFrame, path: str, column: str = "doc_lang", compression: str = "gzip") -> None:
     """Overwrites ``path`` with a folder per language; the column stays in the files."""
     part = f"{column}_partition"
-    df.withColumn(part, F.col(column)).write.mode("overwrite").option("compression", compression).partitionBy(part).parquet(path)
+    df.drop(part).withColumn(part, F.col(column)).write.mode("overwrite").option("compression", compression).partitionBy(part).parquet(path)
 
 
 def plain_partition_names(df_path: str, spark, column: str) -> list[str]:
