@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lekhani.functions import text as T
-from lekhani.llm.repetition import STOP_WORDS, _let, words_of
+from lekhani.llm.repetition import STOP_WORDS, _let, bound_words
 
 LETTER = r"[\p{L}\p{M}]"
 _END = r"[.!?।॥۔؟…][\"'”’»)\]]*"
@@ -68,14 +68,21 @@ def _repeated_share(parts: Column) -> Column:
     return F.coalesce(T.ratio(F.size(parts) - F.size(F.array_distinct(parts)), F.size(parts)), F.lit(0.0))
 
 
-def classify_lines(df: DataFrame, text_col: str) -> DataFrame:
-    """Adds ``_lines`` (trimmed, non-blank) and ``_share`` (map kind -> share of characters)."""
-    lines = F.filter(F.transform(F.split(F.coalesce(F.col(text_col), F.lit("")), r"\r\n|\n|\r"), lambda x: F.regexp_replace(x, r"(?U)\A\s+|\s+\z", "")), lambda x: x != "")
-    df = df.withColumn("_lines", lines)
-    df = df.withColumn("_kinds", F.transform("_lines", lambda x: F.struct(line_kind(x).alias("kind"), F.length(x).alias("n"))))
-    total = F.aggregate("_kinds", F.lit(0), lambda a, k: a + k["n"])
-    part = lambda kind: F.coalesce(T.ratio(F.aggregate(F.filter("_kinds", lambda k: k["kind"] == kind), F.lit(0), lambda a, k: a + k["n"]), total), F.lit(0.0))
-    return df.withColumn("_share", F.create_map(*[x for k in ("junk", "table", "list", "prose") for x in (F.lit(k), part(k))])).drop("_kinds")
+def lines_of(text: Column) -> Column:
+    """Trimmed lines that are not blank."""
+    return F.filter(F.transform(F.split(text, r"\r\n|\n|\r"), lambda x: F.regexp_replace(x, r"(?U)\A\s+|\s+\z", "")), lambda x: x != "")
+
+
+def kind_shares(lines: Column) -> Column:
+    """map(kind -> share of the lines' characters)."""
+    kinds = F.transform(lines, lambda x: F.struct(line_kind(x).alias("kind"), F.length(x).alias("n")))
+    chars = lambda k: F.aggregate(k, F.lit(0), lambda a, x: a + x["n"])
+
+    def shares(k: Column) -> Column:
+        part = lambda kind: F.coalesce(T.ratio(chars(F.filter(k, lambda x: x["kind"] == kind)), chars(k)), F.lit(0.0))
+        return F.create_map(*[x for kind in ("junk", "table", "list", "prose") for x in (F.lit(kind), part(kind))])
+
+    return _let(kinds, shares)
 
 
 def text_statistics(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -84,23 +91,30 @@ def text_statistics(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     words_count and symbol_ratio are the ones stored tables should hold.
     """
     base = df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    base = classify_lines(base, "_text").withColumn("_words", words_of(F.col("_text")))
     stop = F.array(*map(F.lit, STOP_WORDS))
     share = lambda a, b: F.coalesce(T.ratio(a, b), F.lit(0.0))
-    n = F.size("_words")
-    return base.select(
-        F.col("_id").alias(id_col),
-        T.word_count(F.col("_text")).alias("words_count"),
-        F.length("_text").alias("chars_count"),
-        T.symbol_ratio(F.col("_text")).cast("float").alias("symbol_ratio"),
-        share(F.length(F.array_join("_words", "")), n).alias("mean_word_length"),
-        share(F.size(F.filter("_words", lambda w: F.array_contains(stop, w))), n).alias("common_word_share"),
-        share(F.size(F.filter("_lines", lambda x: x.rlike(rf"{_END}\z"))), F.size("_lines")).alias("ended_line_share"),
-        _repeated_share(F.col("_lines")).alias("repeated_line_share"),
-        _repeated_share(F.filter(F.split("_text", r"\n\s*\n"), lambda p: F.trim(p) != "")).alias("repeated_paragraph_share"),
-        *[_top_ngram_share(F.col("_words"), k).alias(f"top_{k}_gram_share") for k in (2, 3, 4)],
-        *[F.col("_share")[k].alias(f"{k}_share") for k in ("prose", "list", "table", "junk")],
+    text = F.col("_text")
+
+    def all_statistics(words: Column, lines: Column) -> Column:
+        n = F.size(words)
+        return F.struct(
+            share(F.length(F.array_join(words, "")), n).alias("mean_word_length"),
+            share(F.size(F.filter(words, lambda w: F.array_contains(stop, w))), n).alias("common_word_share"),
+            share(F.size(F.filter(lines, lambda x: x.rlike(rf"{_END}\z"))), F.size(lines)).alias("ended_line_share"),
+            _repeated_share(lines).alias("repeated_line_share"),
+            *[_top_ngram_share(words, k).alias(f"top_{k}_gram_share") for k in (2, 3, 4)],
+            kind_shares(lines).alias("_share"),
+        )
+
+    out = base.select(
+        "_id",
+        T.word_count(text).alias("words_count"),
+        F.length(text).alias("chars_count"),
+        T.symbol_ratio(text).cast("float").alias("symbol_ratio"),
+        _let(F.filter(F.split(text, r"\n\s*\n"), lambda p: F.trim(p) != ""), _repeated_share).alias("repeated_paragraph_share"),
+        bound_words(text, lambda w: _let(lines_of(text), lambda x: all_statistics(w, x))).alias("_s"),
     )
+    return out.select(F.col("_id").alias(id_col), "words_count", "chars_count", "symbol_ratio", "repeated_paragraph_share", "_s.*").select("*", *[F.col("_share")[k].alias(f"{k}_share") for k in ("prose", "list", "table", "junk")]).drop("_share")
 
 
 def text_kinds(df: DataFrame, id_col: str = "doc_id", text_col: str = "uncleaned_text", words_col: str = "uncleaned_words_count", symbols_col: str = "symbol_ratio", tolerance: float = 0.01) -> DataFrame:
@@ -112,5 +126,5 @@ def text_kinds(df: DataFrame, id_col: str = "doc_id", text_col: str = "uncleaned
     """
     base = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(words_col).alias("_n"), F.col(symbols_col).alias("_s")).where("_text is not null")
     wrong = F.coalesce(F.col("_n") != T.word_count(F.col("_text")), F.lit(False)) | F.coalesce(F.abs(F.col("_s").cast("double") - F.coalesce(T.symbol_ratio(F.col("_text")), F.lit(0.0))) > tolerance, F.lit(False))
-    kinds = F.array_compact(F.array(*[F.when(F.col("_share")[k] > 0.5, F.lit(k)) for k in ("list", "table", "junk")], F.when(wrong, F.lit("stale"))))
-    return classify_lines(base, "_text").select(F.col("_id").alias(id_col), F.explode(kinds).alias("kind")).distinct()
+    kinds = _let(kind_shares(lines_of(F.col("_text"))), lambda m: F.array_compact(F.array(*[F.when(m[k] > 0.5, F.lit(k)) for k in ("list", "table", "junk")], F.when(wrong, F.lit("stale")))))
+    return base.select(F.col("_id").alias(id_col), F.explode(kinds).alias("kind")).distinct()

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lekhani.llm import encode, language, mixing, ocr, pagebody, quality, repetition, sitelines, splitting, toxicity
+from lekhani.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 #: Rows of split_sizes and mix_targets are configuration; more than this is refused.
 MAX_SETTINGS = 1000
@@ -129,5 +132,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (p1_found, p1_repetition, p2_found, p2_pages, p3_found, p3_clean, p4_found, p4_text, p5_found, p5_scores, p5_rates, p6_found, p6_statistics, p7_found, p7_documents, p8_ids, p9_mixture, p9_shares, p10_pieces)
 }
-
-ORACLES: dict[str, str] = {}

@@ -80,17 +80,19 @@ def repeated_words(words: Column, n: int) -> Column:
     return F.when(F.size(words) > n, _let(ordered, covered)).otherwise(0)
 
 
+def bound_words(text: Column, body) -> Column:
+    """``body(words)`` with the words computed once, whatever the optimizer does
+    with the column around it (an expression in a lambda runs per element)."""
+    return _let(words_of(text), body)
+
+
 def _let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once."""
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def statistics(text: Column, run: int = 5) -> dict[str, Column]:
-    """The statistics rules may name, as columns of one text column ``text``.
-
-    ``words`` and ``lines`` must exist as array columns in the same frame.
-    """
-    words, lines = F.col("_words"), F.col("_lines")
+def statistics(text: Column, words: Column, lines: Column, run: int = 5) -> dict[str, Column]:
+    """The statistics rules may name, of a text, its words and its lines."""
     n = F.size(words)
     share = lambda a, b: F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
     stop = F.array(*map(F.lit, STOP_WORDS))
@@ -116,17 +118,14 @@ def score_repetition(df: DataFrame, rules: tuple[Rule, ...] = DEFAULT_RULES, id_
     other columns are not read.
     """
     base = df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    base = base.select(
-        "_id",
-        "_text",
-        words_of(F.col("_text")).alias("_words"),
-        F.filter(F.transform(F.split("_text", r"\r\n|\n|\r"), F.trim), lambda x: x != "").alias("_lines"),
-    )
-    known = statistics(F.col("_text"), run)
+    known = set(statistics(F.lit(""), F.array(), F.array()))
     names = {"n_words", "repeated_words", *(r.statistic for r in rules)} - {"repeated_share"}
     if bad := [r for r in rules if r.statistic not in {*known, "repeated_share"} or r.op not in ("<", "<=", ">", ">=")]:
         raise ValueError(f"unknown statistic or comparison: {bad}")
-    out = base.select("_id", *[c.alias(k) for k, c in known.items() if k in names])
+    text = F.col("_text")
+    lines = F.filter(F.transform(F.split(text, r"\r\n|\n|\r"), F.trim), lambda x: x != "")
+    wanted = lambda w, x: F.struct(*[c.alias(k) for k, c in statistics(text, w, x, run).items() if k in names])
+    out = base.select("_id", bound_words(text, lambda w: _let(lines, lambda x: wanted(w, x))).alias("_s")).select("_id", "_s.*")
     out = out.withColumn("repeated_share", F.coalesce(F.try_divide(F.col("repeated_words").cast("double"), F.col("n_words").cast("double")), F.lit(0.0)))
     compare = {"<": Column.__lt__, "<=": Column.__le__, ">": Column.__gt__, ">=": Column.__ge__}
     return out.select("*", *[compare[r.op](F.col(r.statistic), F.lit(r.limit)).alias(r.name) for r in rules]).withColumnRenamed("_id", id_col)
