@@ -219,6 +219,16 @@ def article_root(page: Page) -> tuple[int, int, int] | None:
 def second_pass(page: Page, begin: int, end: int, root: int) -> None:
     """Open blocks take the label of their nearest decided neighbours."""
     decided = [k for k in range(begin, end) if page.blocks[k].label in ("good", "near", "bad")]
+    # a list or table of links is bad as a whole; one with plain entries is text, and its entries that are links belong to it
+    plain: dict[int, bool] = {}
+    for b in page.blocks[begin:end]:
+        if b.tag in ("li", "td", "th"):
+            around = page.parent[b.node]
+            plain[around] = plain.get(around, False) or (b.linked <= len(b.text) / 2 and b.label != "bad")
+    for b in page.blocks[begin:end]:
+        if b.tag in ("li", "td", "th") and b.label == "bad" and b.linked > len(b.text) / 2 and plain[page.parent[b.node]]:
+            b.label = "open"
+    decided = [k for k in decided if page.blocks[k].label != "open"]
     near = {}
     for k in range(begin, end):
         b = page.blocks[k]
