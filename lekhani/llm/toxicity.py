@@ -101,8 +101,8 @@ class Terms:
             text = text.translate(CLEAN)
         if self.pattern is None:
             return text
-        found = list(map(self.suspects.__getitem__, text.split()))
-        if 2 not in found and 1 not in found:
+        found = bytes(map(self.suspects.__getitem__, text.split()))
+        if 2 not in found and b"\1\1\1" not in found:
             return text
         quotes = [m.span() for m in re.finditer("“[^”\n]*”|«[^»\n]*»|\"[^\"\n]*\"", text)]
 
@@ -122,7 +122,8 @@ class Terms:
 
 
 class _Suspects(dict):
-    """Token -> 2: may be a disguised term, 1: may belong to one spelled out over tokens, 0: neither."""
+    """Token -> 2: may be a disguised term or begin one, 1: a single letter, three
+    of which in a row may spell one, 0: neither."""
 
     LIMIT = 500_000
 
@@ -132,9 +133,9 @@ class _Suspects(dict):
 
     def __missing__(self, token: str) -> int:
         core = token.strip(".,;:!?()[]{}\"“”‘’«»…।۔")
-        if self.terms.pattern.search(token):
+        if core in self.terms.starts or self.terms.pattern.search(token):
             kind = 2
-        elif len(core) == 1 and not core.isdigit() and core.lower() not in ("a", "i") or core in self.terms.starts:
+        elif len(core) == 1 and not core.isdigit():
             kind = 1
         else:
             kind = 0
@@ -161,6 +162,53 @@ def sentences_of(marked: str) -> dict[tuple[str, ...], int]:
     return out
 
 
+class _Numbers(dict):
+    """Word -> number of its form in a sentence; forms are shared between instances."""
+
+    LIMIT = 1_000_000
+
+    def __init__(self, forms: dict[str, int], vocabulary: list[int], words: dict[str, int], first: bool):
+        super().__init__()
+        self.forms, self.vocabulary, self.words, self.first = forms, vocabulary, words, first
+
+    def __missing__(self, w: str) -> int:
+        form = "zzname" if not self.first and w[0].isupper() and not w.isupper() else w.lower()
+        n = self.forms.get(form)
+        if n is None:
+            n = self.forms[form] = len(self.vocabulary)
+            self.vocabulary.append(self.words.get(form, 0))
+        self[w] = n
+        return n
+
+
+class Reader:
+    """Different sentences of marked texts as word numbers; the same sentences as
+    ``sentences_of`` gives, without building their words again."""
+
+    def __init__(self, words: dict[str, int]):
+        self.words = words
+        self._fresh()
+
+    def _fresh(self) -> None:
+        self.forms: dict[str, int] = {}
+        self.vocabulary: list[int] = []
+        self.first = _Numbers(self.forms, self.vocabulary, self.words, True)
+        self.inner = _Numbers(self.forms, self.vocabulary, self.words, False)
+
+    def read(self, marked: list[str]) -> list[list[tuple[int, ...]]]:
+        if len(self.first) + len(self.inner) > _Numbers.LIMIT:
+            self._fresh()
+        first, inner, out = self.first, self.inner.__getitem__, []
+        for text in marked:
+            bag = {}
+            for s in text.translate(MARKS).split("\n"):
+                words = s.split()
+                if words:
+                    bag[(first[words[0]], *map(inner, words[1:]))] = None
+            out.append(list(bag))
+        return out
+
+
 @dataclass
 class Model:
     terms: list[tuple[str, str]]
@@ -172,11 +220,18 @@ class Model:
 
     def sentence_scores(self, bags: list[dict[tuple[str, ...], int]]) -> tuple[np.ndarray, np.ndarray]:
         """Sentences x categories, and the number of sentences per document."""
+        numbered = [[tuple(map(self.words.get, s, repeat(0))) for s in bag] for bag in bags]
+        return self.score(numbered, None)
+
+    def score(self, bags: list[list[tuple[int, ...]]], vocabulary: list[int] | None) -> tuple[np.ndarray, np.ndarray]:
+        """The same for sentences of word numbers; ``vocabulary`` maps them to words of the model."""
         per_doc = np.fromiter(map(len, bags), np.int64, len(bags))
         sentences = [s for bag in bags for s in bag]
         size = np.fromiter(map(len, sentences), np.int64, len(sentences))
         n = int(size.sum())
-        ids = np.fromiter(map(self.words.get, chain.from_iterable(sentences), repeat(0)), np.int64, n)
+        ids = np.fromiter(chain.from_iterable(sentences), np.int64, n)
+        if vocabulary is not None:
+            ids = np.asarray(vocabulary, np.int64)[ids] if n else ids
         owner = np.repeat(np.arange(len(sentences)), size)
         z = np.tile(self.bias, (len(sentences), 1))
         known = np.flatnonzero(ids)
@@ -252,7 +307,7 @@ def fit(bags: list[dict[tuple[str, ...], int]], labels: np.ndarray, terms: list[
         y, weight = np.where(unrated, 0.03, y), np.where(unrated, UNRATED, weight)
         m1, m2 = np.zeros_like(w), np.zeros_like(w)
         order = np.argsort(cols, kind="stable")
-        sorted_cols, heads = cols[order], None
+        sorted_cols, spread = cols[order], rows[order]
         heads = np.searchsorted(sorted_cols, np.arange(len(chosen)))
         empty = np.bincount(cols, minlength=len(chosen)) == 0
         heads = np.minimum(heads, len(cols) - 1)
@@ -263,7 +318,7 @@ def fit(bags: list[dict[tuple[str, ...], int]], labels: np.ndarray, terms: list[
             bag_p = np.clip(1 - np.exp(log_none), 1e-6, 1 - 1e-6)
             # d loss / d z of a sentence through the noisy-or
             g = ((bag_p - y) / bag_p * weight)[doc] * p
-            grad = np.add.reduceat(g[rows][order], heads, axis=0)
+            grad = np.add.reduceat(g[spread], heads, axis=0)
             grad[empty] = 0
             grad += l2 * len(bags) ** 0.5 * (w - prior)
             m1 = 0.9 * m1 + 0.1 * grad
@@ -318,9 +373,6 @@ def train(docs: DataFrame, ratings: DataFrame, term_table: DataFrame, most: int
     return fit(bags, labels, terms)
 
 
-_MATCHERS: dict[int, Terms] = {}
-
-
 def score_documents(df: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
     """The ``keep`` columns, a score per category, and per category the worst
     sentence (its number, counted from 0 over sentences with words) or null if
@@ -330,14 +382,13 @@ def score_documents(df: DataFrame, model: Model, keep: list[str], text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        matcher = _MATCHERS.setdefault(hash(tuple(model.terms)), None) or Terms(model.terms)
-        _MATCHERS[hash(tuple(model.terms))] = matcher
+        matcher, reader = Terms(model.terms), Reader(model.words)
         for batch in batches:
             for a in range(0, batch.num_rows, 500):  # bounded work arrays
                 part = batch.slice(a, 500)
                 texts = part.column(part.num_columns - 1).to_pylist()
-                bags = [sentences_of(matcher.mark(t)) if t else {} for t in texts]
-                p, per_doc = model.sentence_scores(bags)
+                marked = [matcher.mark(t) if t else "" for t in texts]
+                p, per_doc = model.score(reader.read(marked), reader.vocabulary)
                 total = np.zeros((len(texts), len(CATEGORIES)))
                 owner = np.repeat(np.arange(len(texts)), per_doc)
                 # the bias alone says nothing against a text, however long
@@ -348,7 +399,7 @@ def score_documents(df: DataFrame, model: Model, keep: list[str], text_col: str
                 first = np.concatenate([[0], np.cumsum(per_doc)])
                 for i in np.flatnonzero((score >= THRESHOLD).any(axis=1)).tolist():
                     s = p[first[i] : first[i + 1]]
-                    number = np.array(list(bags[i].values()))
+                    number = np.array(list(sentences_of(marked[i]).values()))
                     worst[i] = np.where(s.max(axis=0) >= 0.5, number[s.argmax(axis=0)], -1)
                 columns = [pa.array(score[:, j]) for j in range(len(CATEGORIES))]
                 columns += [pa.array(worst[:, j].astype(np.int32), mask=worst[:, j] < 0) for j in range(len(CATEGORIES))]
