@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 BUCKETS = 1 << 14
 #: Training documents per label; the only bound on what the model sees.
-TRAIN_DOCS = 600
+TRAIN_DOCS = 250
 TRAIN_PARTS = 6000
 CLUSTERS = 2
 #: Share of a language's training parts that rejection may lose.
@@ -127,6 +127,23 @@ def read_parts(texts: list[str]) -> Parts:
     return Parts(text, line[at] - first_line[text], script[at], closes - opens + 1, at - first_char[text], letter[closes] + 1 - first_char[text], key // BUCKETS, key % BUCKETS, count)
 
 
+def read_all_parts(texts: list[str]) -> Parts:
+    """``read_parts`` in slices of bounded size, put together in small types."""
+    found, a = [], 0
+    while a < len(texts):
+        b, size = a, 0
+        while b < len(texts) and (b == a or size + len(texts[b]) < PART):
+            size += len(texts[b])
+            b += 1
+        p = read_parts(texts[a:b])
+        p.text = p.text + a
+        p.row, p.term, p.count = p.row.astype(np.int32), p.term.astype(np.int32), p.count.astype(np.int32)
+        p.row += sum(len(x.text) for x in found)
+        found.append(p)
+        a = b
+    return Parts(*[np.concatenate([getattr(p, f) for p in found]) for f in Parts.__dataclass_fields__])
+
+
 @dataclass
 class Model:
     idf: np.ndarray
@@ -162,7 +179,7 @@ def _rows(parts: Parts, idf: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray,
     place[keep] = np.arange(len(keep))
     on = place[parts.row] >= 0
     row, term = place[parts.row[on]], parts.term[on]
-    w = (1 + np.log(parts.count[on])) * idf[term]
+    w = (1 + np.log(parts.count[on].astype(np.float32))) * idf[term]
     norm = np.sqrt(np.bincount(row, w * w, len(keep)))
     return row, term, w / np.maximum(norm[row], 1e-9)
 
@@ -205,9 +222,11 @@ def fit(texts: list[str], labels: list[str], clusters: int = CLUSTERS) -> Model:
     The parts of a script are clustered whatever their labels; a cluster has
     the language that most of its parts are labelled with.
     """
-    parts = read_parts(texts)
     languages = sorted(set(labels))
-    if not languages or not len(parts.text):
+    if not languages:
+        raise ValueError("no labelled text to learn from")
+    parts = read_all_parts(texts)
+    if not len(parts.text):
         raise ValueError("no labelled text to learn from")
     code = {x: k for k, x in enumerate(languages)}
     given = np.array([code[x] for x in labels])[parts.text]
