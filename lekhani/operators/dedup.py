@@ -64,12 +64,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(id, class_id): near-duplicate classes of documents; a document of its own is its own class.
 
     Shingles of five words, similarity 0.8: signatures of 24 bands of 6 rows, a
-    pair at 0.8 meets in a band with probability 0.999. In a bucket every
-    document is linked to the next smaller ones of like sketch through the
-    bucket's least ids, so no bucket is expanded into pairs; links whose sketches
-    agree less than the similarity are dropped. Classes are the connected
-    components of the links, by hooking to the least neighbour; lineage is cut
-    in the checkpoint folder. Null and blank texts are classes of their own.
+    pair at 0.8 meets in a band with probability 0.999. Copies are merged before.
+    In a bucket every document is compared with the one before it in id order,
+    so no bucket is expanded into pairs; a pair that no band brings together as
+    neighbours, and that no chain of like neighbours connects, is missed. Links
+    whose sketches agree less than the similarity (less 0.1 for the sketch's
+    error) are dropped. Classes are the connected components of the links, by
+    hooking to the least neighbour; lineage is cut in the checkpoint folder.
+    Null and blank texts are classes of their own.
     """
     all_ids = df.select(F.col(id_col).alias("id")).where("id is not null").distinct()
     signed = cut_lineage(signatures(df, id_col, text_col))

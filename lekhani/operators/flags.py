@@ -66,8 +66,9 @@ def nsfw_side_output(flagged: DataFrame, config: Config = Config()) -> DataFrame
 
 def remove_documents(docs: DataFrame, stats: DataFrame, key: str = "doc_id") -> DataFrame:
     """Documents with kept statistics, and the statistics but doc_lang. Each key
-    is taken once on either side."""
-    return docs.dropDuplicates([key]).join(stats.dropDuplicates([key]).drop("doc_lang"), key)
+    is taken once on either side; of columns both have, the documents' stay."""
+    clash = [c for c in stats.columns if c != key and c in docs.columns]
+    return docs.dropDuplicates([key]).join(stats.dropDuplicates([key]).drop("doc_lang", *clash), key)
 
 
 def surviving_documents(docs: DataFrame, stats: DataFrame, key: str = "doc_id") -> DataFrame:

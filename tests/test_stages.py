@@ -87,7 +87,7 @@ def test_lines_round_trip_and_stats(spark):
     rows = lines.doc_to_sentences(df)
     assert {r.doc_id: r.text for r in lines.lines_to_doc(rows).collect()} == {1: "a b. c!\n\nd"}
     s = stats.doc_stats(stats.line_stats(rows, lang_col=None)).collect()[0]
-    assert (s.lines_count, s.char_count) == (3, 11)
+    assert (s.lines_count, s.char_count) == (3, 10)
     assert stats.repeated_line_dist(rows).collect()[0].repeated_line_dist == {"a b.": 1, " c!\n\n": 1, "d": 1}
 
 
