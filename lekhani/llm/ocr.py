@@ -618,7 +618,10 @@ def _repair(text: str, todo: list[dict]) -> str:
         elif x["do"] == "word":
             lines[k] = re.sub(rf"(?<![^\W_]){re.escape(x['a'])}(?![^\W_])", lambda m, b=x["b"]: b.capitalize() if m.group()[:1].isupper() else b, lines[k], flags=re.I)
         elif x["do"] == "first":
-            lines[k] = " ".join(lines[k].split()[1:]) or None
+            first, *others = lines[k].split() or [""]
+            # marks that followed the second half stay at the begin, to be drawn to the word before
+            marks = "".join(c for c in first[len(_head(first)) :] if unicodedata.category(c)[0] not in "LMN")
+            lines[k] = " ".join([marks, *others] if marks else others) or None
         else:
             words = lines[k].split()
             whole = x["a"]
@@ -631,4 +634,6 @@ def _repair(text: str, todo: list[dict]) -> str:
             paragraphs[-1].append(" ".join(line.split()))
         elif paragraphs[-1]:
             paragraphs.append([])
-    return "\n\n".join(" ".join(p) for p in paragraphs if p)
+    # a mark left at a line's begin belongs to the word before it; lone dashes between words are scan noise
+    joined = (" ".join(p) for p in paragraphs if p)
+    return "\n\n".join(re.sub(r"(?<=[^\W_]) - (?=[^\W_])", " ", re.sub(r"(?<=\S) ([.,;:?!।॥۔”’)]+)(?= |$)", r"\1", p)) for p in joined)
