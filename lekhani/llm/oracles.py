@@ -9,4 +9,10 @@ g AS (SELECT doc_id, i, word || chr(1) || lead(word, 1) OVER o || chr(1) || lead
 r AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, g ORDER BY i) AS k FROM g WHERE g IS NOT NULL) WHERE k > 1),
 c AS (SELECT doc_id, count(DISTINCT p) AS covered FROM (SELECT doc_id, unnest(generate_series(i, i + 4)) AS p FROM r) GROUP BY doc_id)
 SELECT doc_id FROM c JOIN w USING (doc_id) WHERE covered >= 0.3 * len(w.w)""",
+    "p3_found": r"""WITH d AS (SELECT DISTINCT doc_id, text, nullif(regexp_replace(regexp_extract(lower(trim(url)), '^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)', 1), '^(www|m)\.|\.$', '', 'g'), '') AS site FROM extracted WHERE doc_id IS NOT NULL),
+n AS (SELECT site, count(DISTINCT doc_id) AS docs FROM d WHERE site IS NOT NULL GROUP BY site),
+l AS (SELECT doc_id, site, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM d WHERE text IS NOT NULL AND site IS NOT NULL),
+k AS (SELECT doc_id, site, line_no, regexp_replace(regexp_replace(lower(line), '[\p{Nd}\p{Z}\p{C}\s]+', '', 'g'), '^[\p{P}\p{S}]+|[\p{P}\p{S}]+$', '', 'g') AS key FROM l),
+f AS (SELECT site, key FROM k JOIN n USING (site) WHERE key != '' GROUP BY site, key, docs HAVING count(DISTINCT doc_id) >= 5 AND count(DISTINCT doc_id) >= 0.15 * docs)
+SELECT DISTINCT doc_id, line_no::INT AS line_no FROM k JOIN f USING (site, key)""",
 }

@@ -64,6 +64,8 @@ def p10_pieces(spark, d):
 
 def _mixture(spark, d):
     docs, targets = _table(spark, d, "documents"), _table(spark, d, "mix_targets")
+    if targets.limit(MAX_SETTINGS + 1).count() > MAX_SETTINGS:  # it is broadcast
+        raise ValueError("too many mixture targets")
     sizes = mixing.document_sizes(docs, targets)
     plan = mixing.plan_mixture(sizes, targets)
     return mixing.mix(sizes, plan), plan
