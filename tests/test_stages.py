@@ -1,4 +1,5 @@
 import json
+import random
 from dataclasses import replace
 
 import pytest
@@ -46,6 +47,42 @@ def test_near_duplicates_classes(spark):
     assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 6}
 
 
+def _brute_force(rows):
+    grams = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    sets, cls = {k: grams(t.split()) for k, t in rows}, {k: k for k, _ in rows}
+    for a in sets:
+        for b in sets:
+            if a < b and cls[a] != cls[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                low, high = sorted((cls[a], cls[b]))
+                cls = {k: low if v == high else v for k, v in cls.items()}
+    return cls
+
+
+def test_near_duplicates_in_a_crowded_bucket(spark, monkeypatch):
+    # two templates of 200 unlike variants (at about 0.6) each, which stand in id order between the template and its near copy
+    rng, rows = random.Random(5), []
+    for t in (0, 1):
+        for k in [0, *range(1, 201), 201]:
+            words = [f"t{t}x{i}" for i in range(204)]
+            for i in {0: [], 201: [20, 60, 100, 140]}.get(k, range(rng.randrange(5, 10), 204, 20)):
+                words[i + (rng.randrange(10) if 0 < k < 201 else 0)] = f"changed{t}x{k}"
+            rows.append((1000 * t + k, " ".join(words)))
+    monkeypatch.setattr(dedup, "CELL", 7, raising=False)
+    want = _brute_force(rows)
+    assert sorted(k for k, v in want.items() if v != k) == [201, 1201]
+    got = {r.doc_id: r.class_id for r in dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+
+
+def test_crowded_pairs_are_all_met(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "CELL", 4)
+    label = lambda h: 0 if h < 20 else h // 3
+    prefix = spark.createDataFrame([(g, h, 10, 10, label(h)) for g in (1, 2) for h in range(40)], "g long, h long, n int, rest int, label long")
+    got = [tuple(sorted((r.a, r.b))) for r in dedup._crowded_pairs(prefix.where("g = 1")).collect()]
+    assert sorted(got) == [(a, b) for a in range(40) for b in range(a + 1, 40) if label(a) != label(b)]
+    assert {tuple(sorted((r.a, r.b))) for r in dedup._crowded_pairs(prefix).collect()} == set(got)
+
+
 def test_json_to_documents(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps({"doc_id": "d", "url": "https://x.example/1", "source": "s", "timestamp": "01/01/23 10:00", "html": "<html><title>T</title><p>Hello there.</p></html>"}))
     (tmp_path / "b.json").write_text(json.dumps({"doc_id": "e", "url": "u", "source": "s", "text": "plain"}))
