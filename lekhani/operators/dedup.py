@@ -75,14 +75,16 @@ def _crowded_pairs(prefix: DataFrame) -> DataFrame:
     return left.join(right, ["g", "x", "y"]).where("label_a != label_b and (in_big or a < b)").where(_near_enough(F.col("n_a"), F.col("n_b"), F.least("rest_a", "rest_b"))).select("a", "b")
 
 
-def components(links: DataFrame, rounds: int = 30) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(node, root): the least node that links (a, b) connect to each linked node.
 
-    Hooking to the least neighbour; lineage is cut in the checkpoint folder.
+    Hooking to the least neighbour until nothing changes; labels only fall, so
+    this ends. Lineage is cut in the checkpoint folder.
     """
     both = cut_lineage(links.union(links.select("b", "a")).distinct())
     labels = both.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct()
-    for _ in range(rounds):
+    changed = True
+    while changed:
         least = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("root").alias("near"))
         fresh = labels.join(least, labels["node"] == least["a"]).select("node", F.least("root", "near").alias("root"))
         # pointer jump: the root's own root
@@ -90,8 +92,6 @@ def components(links: DataFrame, rounds: int = 30) -> DataFrame:
         fresh = cut_lineage(fresh.join(jump, "root").select("node", F.col("top").alias("root")))
         changed = fresh.join(labels.withColumnRenamed("root", "old"), "node").where("root != old").limit(1).count()
         labels = fresh
-        if not changed:
-            break
     return labels
 
 

@@ -83,6 +83,20 @@ def test_crowded_pairs_are_all_met(spark, monkeypatch):
     assert {tuple(sorted((r.a, r.b))) for r in dedup._crowded_pairs(prefix).collect()} == set(got)
 
 
+def test_near_duplicates_at_the_bound(spark):
+    # one text is the beginning of the other: 80 of 100 shingles are the same, and 79 of 100
+    text = lambda t, n: " ".join(f"{t}{i}" for i in range(n + 4))
+    rows = [(10, text("a", 100)), (110, text("a", 80)), (20, text("b", 100)), (120, text("b", 79))]
+    got = {r.doc_id: r.class_id for r in dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {10: 10, 110: 10, 20: 20, 120: 120}
+
+
+def test_components_do_not_stop_early(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(0, 300) if i != 150], "a long, b long")
+    got = {r.node: r.root for r in dedup.components(links).collect()}
+    assert got == {i: 0 if i <= 150 else 151 for i in range(301)}
+
+
 def test_json_to_documents(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps({"doc_id": "d", "url": "https://x.example/1", "source": "s", "timestamp": "01/01/23 10:00", "html": "<html><title>T</title><p>Hello there.</p></html>"}))
     (tmp_path / "b.json").write_text(json.dumps({"doc_id": "e", "url": "u", "source": "s", "text": "plain"}))
