@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 BUCKETS = 1 << 14
 #: Training documents per label; the only bound on what the model sees.
-TRAIN_DOCS = 250
+TRAIN_DOCS = 600
 TRAIN_PARTS = 6000
 CLUSTERS = 2
 #: Share of a language's training parts that rejection may lose.
@@ -141,7 +141,12 @@ def read_all_parts(texts: list[str]) -> Parts:
         p.row += sum(len(x.text) for x in found)
         found.append(p)
         a = b
-    return Parts(*[np.concatenate([getattr(p, f) for p in found]) for f in Parts.__dataclass_fields__])
+    whole = []
+    for f in Parts.__dataclass_fields__:
+        whole.append(np.concatenate([getattr(p, f) for p in found]))
+        for p in found:  # each field is held twice only while it is joined
+            setattr(p, f, None)
+    return Parts(*whole)
 
 
 @dataclass
@@ -175,13 +180,13 @@ class Model:
 
 def _rows(parts: Parts, idf: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Weighted, normalised term triples of the chosen parts (row renumbered)."""
-    place = np.full(len(parts.text), -1)
-    place[keep] = np.arange(len(keep))
+    place = np.full(len(parts.text), -1, np.int32)
+    place[keep] = np.arange(len(keep), dtype=np.int32)
     on = place[parts.row] >= 0
     row, term = place[parts.row[on]], parts.term[on]
     w = (1 + np.log(parts.count[on].astype(np.float32))) * idf[term]
     norm = np.sqrt(np.bincount(row, w * w, len(keep)))
-    return row, term, w / np.maximum(norm[row], 1e-9)
+    return row, term, w / np.maximum(norm, 1e-9).astype(np.float32)[row]
 
 
 def _cluster(row: np.ndarray, term: np.ndarray, w: np.ndarray, given: np.ndarray, letters: np.ndarray, clusters: int) -> tuple[np.ndarray, np.ndarray]:
@@ -255,8 +260,8 @@ def fit(texts: list[str], labels: list[str], clusters: int = CLUSTERS) -> Model:
     model = Model(idf, np.ascontiguousarray(np.stack(centers).T.astype(np.float32)), np.array(owner), languages, np.zeros(len(owner), np.float32))
     best, cosine = np.zeros(len(parts.text), int), np.zeros(len(parts.text))
     ends = np.searchsorted(parts.row, np.arange(len(parts.text) + 1))
-    for a in range(0, len(parts.text), 4000):
-        b = min(a + 4000, len(parts.text))
+    for a in range(0, len(parts.text), 1000):
+        b = min(a + 1000, len(parts.text))
         some = slice(ends[a], ends[b])
         s = model.scores(Parts(parts.text[a:b], *[parts.line[a:b]] * 5, parts.row[some] - a, parts.term[some], parts.count[some]))
         best[a:b], cosine[a:b] = s.argmax(axis=1), s.max(axis=1)

@@ -223,3 +223,12 @@ def test_empty_tables(spark):
     assert pagebody.main_content(docs, html_col="text").count() == 0
     scans = spark.createDataFrame([], "doc_id string, url string, source string, language string, page_no string, identifier string, pdf_name string, text string")
     assert ocr.noise_items(scans).count() == 0
+
+
+def test_language_sample_is_whole_and_read_in_slices(monkeypatch):
+    texts = ["One line here.\nNamaste. Two lines.", "", "हिन्दी का वाक्य।", "Another text, then."]
+    whole = language.read_parts(texts)
+    monkeypatch.setattr(language, "PART", 5)
+    sliced = language.read_all_parts(texts)
+    assert all((getattr(whole, f) == getattr(sliced, f)).all() for f in language.Parts.__dataclass_fields__)
+    assert language.TRAIN_DOCS == 600
