@@ -2,34 +2,39 @@
 
 A part is a run of one script inside a sentence. Its characters' n-grams
 (orders 1-3, hashed) make a TF-IDF vector of length one; it has the language of
-the nearest centroid by cosine, if it is no further from it than nearly all
-training parts are. Every language has several centroids, found by clustering
-the training parts script by script. Training labels are partly wrong: a part
-may fall into a cluster that mostly bears another label, and then counts there.
+the nearest centroid of its script by cosine, if it is no further from it than
+nearly all training parts are. Every language has several centroids, found by
+clustering the training parts script by script. A document's training label may
+not hold for all its parts: a part may fall into a cluster that mostly bears
+another label, and then counts there.
 """
 
 from __future__ import annotations
 
+import pickle
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BUCKETS = 1 << 14
-#: Training documents per label; the only bound on what the model sees.
+#: The two bounds on what the model is fitted on: documents per label, and parts
+#: per script and label. Both are chosen by hash.
 TRAIN_DOCS = 600
 TRAIN_PARTS = 6000
-CLUSTERS = 2
+#: Training parts have at least this many letters.
+TRAIN_LETTERS = 8
+#: Centroids of a language in a script.
+CLUSTERS = 4
 #: Share of a language's training parts that rejection may lose.
 REJECT_SHARE = 0.005
 #: Characters handled at once, which bounds a worker's memory.
 PART = 150_000
-#: Cosine from which two clusters pass for the same kind of text.
-ALIKE = 0.8
 #: Confidence below which a part follows the rest of its text.
 UNSURE = 0.12
 UNKNOWN = "unknown"
@@ -95,180 +100,203 @@ def read_parts(texts: list[str]) -> Parts:
     if not len(letter):
         none = np.zeros(0, np.int64)
         return Parts(*[none] * 9)
-    line, sentence = np.cumsum(code == 10), np.cumsum(t.ends[code])
-    same = (script[letter[1:]] == script[letter[:-1]]) & (line[letter[1:]] == line[letter[:-1]]) & (sentence[letter[1:]] == sentence[letter[:-1]])
-    first = np.concatenate([[True], ~same])
-    part_of_letter = np.cumsum(first) - 1
+    # a part ends with its line, its sentence or its script
+    breaks = np.cumsum((code == 10) | t.ends[code], dtype=np.int32)[letter]
+    spoken = script[letter]
+    first = np.concatenate([[True], (spoken[1:] != spoken[:-1]) | (breaks[1:] != breaks[:-1])])
+    part_of_letter = np.cumsum(first, dtype=np.int32) - 1
     n = int(part_of_letter[-1]) + 1
     opens = np.flatnonzero(first)
     closes = np.append(opens[1:], len(letter)) - 1
     first_line, first_char = np.concatenate([[0], np.cumsum(lines_per_text)]), np.concatenate([[0], np.cumsum(chars_per_text)])
     at = letter[opens]
     text = np.searchsorted(first_char, at, "right") - 1
+    line = np.searchsorted(np.flatnonzero(code == 10), at)
     # the stream of letters, marks and single blanks; each belongs to the part of the letter before it
-    owner = np.full(len(code), -1, np.int64)
+    owner = np.full(len(code), -1, np.int32)
     owner[letter] = part_of_letter
     owner = np.maximum.accumulate(owner)
-    keep = (low != 32) | np.concatenate([[False], low[:-1] != 32])
+    blank = low == 32
+    keep = ~blank
+    keep[1:] |= ~blank[:-1]
     keep &= owner >= 0
-    c, p = low[keep].astype(np.uint64), owner[keep]
+    c, p = low[keep], owner[keep]
+    wide = np.uint64 if n * BUCKETS >= 1 << 32 else np.uint32
+    base = p.astype(wide) * wide(BUCKETS)
     keys = []
-    with np.errstate(over="ignore"):
-        for order in (1, 2, 3):
-            if len(c) < order:
-                continue
-            h = np.full(len(c) - order + 1, order, np.uint64)
-            for k in range(order):
-                h = (h ^ c[k : len(c) - order + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
-                h ^= h >> np.uint64(29)
-            whole = p[: len(c) - order + 1] == p[order - 1 :]
-            keys.append((p[: len(c) - order + 1] * BUCKETS + (h % np.uint64(BUCKETS)).astype(np.int64))[whole])
-    key, count = np.unique(np.concatenate(keys), return_counts=True)
-    return Parts(text, line[at] - first_line[text], script[at], closes - opens + 1, at - first_char[text], letter[closes] + 1 - first_char[text], key // BUCKETS, key % BUCKETS, count)
-
-
-def read_all_parts(texts: list[str]) -> Parts:
-    """``read_parts`` in slices of bounded size, put together in small types."""
-    found, a = [], 0
-    while a < len(texts):
-        b, size = a, 0
-        while b < len(texts) and (b == a or size + len(texts[b]) < PART):
-            size += len(texts[b])
-            b += 1
-        p = read_parts(texts[a:b])
-        p.text = p.text + a
-        p.row, p.term, p.count = p.row.astype(np.int32), p.term.astype(np.int32), p.count.astype(np.int32)
-        p.row += sum(len(x.text) for x in found)
-        found.append(p)
-        a = b
-    whole = []
-    for f in Parts.__dataclass_fields__:
-        whole.append(np.concatenate([getattr(p, f) for p in found]))
-        for p in found:  # each field is held twice only while it is joined
-            setattr(p, f, None)
-    return Parts(*whole)
+    for order in (1, 2, 3):
+        if len(c) < order:
+            continue
+        m = len(c) - order + 1
+        h = np.full(m, order, np.uint32)
+        for k in range(order):
+            h ^= c[k : m + k]
+            h *= np.uint32(0x9E3779B1)
+            h ^= h >> np.uint32(15)
+        key = base[:m] + (h & np.uint32(BUCKETS - 1))
+        keys.append(key[p[:m] == p[order - 1 :]] if order > 1 else key)
+    key = np.sort(np.concatenate(keys))
+    new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    key, count = key[new], np.diff(np.append(new, len(key)))
+    return Parts(text, line - first_line[text], spoken[opens], closes - opens + 1, at - first_char[text], letter[closes] + 1 - first_char[text], (key // wide(BUCKETS)).astype(np.int64), (key % wide(BUCKETS)).astype(np.int32), count.astype(np.int32))
+
+
+def slices(texts: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray, np.ndarray]]:
+    """Pieces of about ``PART`` characters in all, with the text, first line and
+    first character of each. Longer texts are cut after a line, a sentence or a
+    word, and inside one of more than ``PART`` characters."""
+    pieces: list[str] = []
+    where: list[tuple[int, int, int]] = []
+    size = 0
+    for i, text in enumerate(texts):
+        at = line = 0
+        while True:
+            end = len(text)
+            if end - at > PART:
+                end = at + PART
+                cut = max(text.rfind("\n", at, end), *(text.rfind(x, at + PART // 2, end) for x in SENTENCE_ENDS))
+                cut = cut if cut > at else text.rfind(" ", at, end)
+                end = cut + 1 if cut > at else end
+            if pieces and size + end - at > PART:
+                yield pieces, *np.array(where).T
+                pieces, where, size = [], [], 0
+            pieces.append(text[at:end])
+            where.append((i, line, at))
+            size += end - at
+            if end == len(text):
+                break
+            line += pieces[-1].count("\n")
+            at = end
+    if pieces:
+        yield pieces, *np.array(where).T
 
 
 @dataclass
-class Model:
+class Voice:
+    """Centroids of one script: buckets x centroids, their languages and least cosines."""
+
     idf: np.ndarray
-    centroids: np.ndarray  # buckets x centroids
-    owner: np.ndarray  # language of each centroid
-    languages: list[str]
-    floor: np.ndarray  # least cosine per centroid
+    centroids: np.ndarray
+    owner: np.ndarray
+    floor: np.ndarray
+
+    def cosines(self, row: np.ndarray, term: np.ndarray, count: np.ndarray, n: int) -> np.ndarray:
+        """Parts x centroids, of ``n`` parts none of which is without terms."""
+        w = (1 + np.log(count.astype(np.float32))) * self.idf[term]
+        norm = np.sqrt(np.bincount(row, w * w, n))
+        starts = np.searchsorted(row, np.arange(n))
+        dots = np.add.reduceat(self.centroids[term] * w[:, None], starts, axis=0)
+        return dots / np.maximum(norm, 1e-9)[:, None]
 
-    def scores(self, parts: Parts) -> np.ndarray:
-        """Cosines, parts x centroids."""
-        w = (1 + np.log(parts.count)).astype(np.float32) * self.idf[parts.term]
-        n = len(parts.text)
-        norm = np.sqrt(np.bincount(parts.row, w * w, n))
-        dense = self.centroids[parts.term] * w[:, None]
-        starts = np.searchsorted(parts.row, np.arange(n))
-        return np.add.reduceat(dense, starts, axis=0) / np.maximum(norm, 1e-9)[:, None]
+
+@dataclass
+class Model:
+    languages: list[str]
+    voices: dict[int, Voice]
 
     def classify(self, parts: Parts) -> tuple[np.ndarray, np.ndarray]:
-        """Language per part (-1: rejected) and a confidence in [0, 1]."""
-        s = self.scores(parts)
-        best = s.argmax(axis=1)
-        rows = np.arange(len(s))
-        top = s[rows, best]
-        lang = self.owner[best]
-        rival = np.where(self.owner[None, :] == lang[:, None], -1.0, s).max(axis=1)
-        confidence = np.clip((top - np.maximum(rival, 0)) / np.maximum(top, 1e-9), 0, 1)
-        return np.where(top < self.floor[best], -1, lang), confidence
-
-
-def _rows(parts: Parts, idf: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Weighted, normalised term triples of the chosen parts (row renumbered)."""
-    place = np.full(len(parts.text), -1, np.int32)
-    place[keep] = np.arange(len(keep), dtype=np.int32)
-    on = place[parts.row] >= 0
-    row, term = place[parts.row[on]], parts.term[on]
-    w = (1 + np.log(parts.count[on].astype(np.float32))) * idf[term]
-    norm = np.sqrt(np.bincount(row, w * w, len(keep)))
-    return row, term, w / np.maximum(norm, 1e-9).astype(np.float32)[row]
-
-
-def _cluster(row: np.ndarray, term: np.ndarray, w: np.ndarray, given: np.ndarray, letters: np.ndarray, clusters: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spherical k-means over the parts of one script. Centroids (k x buckets) and assignment.
-
-    Starts at the mean of every label's parts and, for labels of some weight,
-    at the part furthest from it, so that the start leans on no single label.
-    """
-    n = len(given)
+        """Language per part (-1: of a script never learned, -2 - k: nearest to
+        k but rejected) and a confidence in [0, 1]."""
+        lang, confidence = np.full(len(parts.text), -1, np.int64), np.zeros(len(parts.text))
+        for script in np.unique(parts.script).tolist():
+            voice = self.voices.get(script)
+            if voice is None:
+                continue
+            mine = np.flatnonzero(parts.script == script)
+            place = np.full(len(parts.text), -1, np.int64)
+            place[mine] = np.arange(len(mine))
+            row = place[parts.row]
+            on = row >= 0
+            s = voice.cosines(row[on], parts.term[on], parts.count[on], len(mine))
+            best = s.argmax(axis=1)
+            top = s[np.arange(len(s)), best]
+            owner = voice.owner[best]
+            rival = np.where(voice.owner[None, :] == owner[:, None], 0.0, s).max(axis=1)
+            confidence[mine] = np.clip((top - np.maximum(rival, 0)) / np.maximum(top, 1e-9), 0, 1)
+            lang[mine] = np.where(top < voice.floor[best], -2 - owner, owner)
+        return lang, confidence
+
+
+def _clusters(row: np.ndarray, term: np.ndarray, w: np.ndarray, letters: np.ndarray, clusters: int) -> np.ndarray:
+    """Centroids (k x buckets) of parts by spherical k-means, which begins at the
+    mean of all and then at the longer part furthest from those before."""
+    n = len(letters)
     starts = np.append(np.searchsorted(row, np.arange(n)), len(row))
-    unit = lambda v: v / max(np.linalg.norm(v), 1e-9)
     similarity = lambda c: np.bincount(row, w * c[term], n)
-    centers = []
-    for lang in np.unique(given):
-        mine = given == lang
-        if mine.sum() < min(5, n):
-            continue
-        centers.append(unit(np.bincount(term, w * mine[row], BUCKETS)))
-        nearest = similarity(centers[-1])
-        for _ in range(clusters - 1 if mine.mean() > 0.05 else 0):
-            i = int(np.where(mine & (letters >= np.quantile(letters[mine], 0.5)), nearest, 9).argmin())
-            v = np.zeros(BUCKETS)
-            v[term[starts[i] : starts[i + 1]]] = w[starts[i] : starts[i + 1]]
-            centers.append(v)
-            nearest = np.maximum(nearest, similarity(v))
-    label = np.zeros(n, int)
-    for _ in range(8):
+    centers = [_unit(np.bincount(term, w, BUCKETS))]
+    nearest = similarity(centers[0])
+    long = letters >= np.median(letters)
+    for _ in range(min(clusters, n // 12) - 1):
+        i = int(np.where(long, nearest, 9).argmin())
+        v = np.zeros(BUCKETS)
+        v[term[starts[i] : starts[i + 1]]] = w[starts[i] : starts[i + 1]]
+        centers.append(v)
+        nearest = np.maximum(nearest, similarity(v))
+    for _ in range(6 if len(centers) > 1 else 0):
         label = np.stack([similarity(c) for c in centers]).argmax(axis=0)
         for j in range(len(centers)):
             if (label == j).any():
-                centers[j] = unit(np.bincount(term, w * (label[row] == j), BUCKETS))
-    return np.stack(centers), label
+                centers[j] = _unit(np.bincount(term, w * (label[row] == j), BUCKETS))
+    return np.stack([c for j, c in enumerate(centers) if len(centers) == 1 or (label == j).any()])
+
+
+def _unit(v: np.ndarray) -> np.ndarray:
+    return v / max(np.linalg.norm(v), 1e-9)
 
 
-def fit(texts: list[str], labels: list[str], clusters: int = CLUSTERS) -> Model:
-    """Model from labelled texts whose labels may be partly wrong.
+def fit_script(row: np.ndarray, term: np.ndarray, count: np.ndarray, given: np.ndarray, letters: np.ndarray, weight: np.ndarray, clusters: int = CLUSTERS) -> Voice:
+    """Centroids of the languages of one script, from its parts.
 
-    The parts of a script are clustered whatever their labels; a cluster has
-    the language that most of its parts are labelled with.
+    ``weight`` of a part is how many documents of the corpus it stands for. A
+    label is a language of the script if it has most of the weight of the parts
+    nearest to its mean; wrong labels only share the place of a right one. A
+    part counts for its label where it is nearer to its mean than to others';
+    means and choice are made in turns.
     """
-    languages = sorted(set(labels))
-    if not languages:
-        raise ValueError("no labelled text to learn from")
-    parts = read_all_parts(texts)
-    if not len(parts.text):
-        raise ValueError("no labelled text to learn from")
-    code = {x: k for k, x in enumerate(languages)}
-    given = np.array([code[x] for x in labels])[parts.text]
-    df = np.bincount(parts.term, minlength=BUCKETS)
-    idf = np.log((1 + len(parts.text)) / (1 + df)).astype(np.float32) + 1
-    # very short parts tell nothing; the rest in an order that depends on no label
-    order = np.argsort((np.arange(len(parts.text)) * 2654435761) % (1 << 32), kind="stable")
-    order = order[parts.letters[order] >= min(8, parts.letters.max())]
+    n = len(given)
+    df = np.bincount(term, minlength=BUCKETS)
+    idf = np.log((1 + n) / (1 + df)).astype(np.float32) + 1
+    w = (1 + np.log(count.astype(np.float32))) * idf[term]
+    w /= np.maximum(np.sqrt(np.bincount(row, w * w, n)), 1e-9).astype(np.float32)[row]
+    right = np.ones(n, bool)
+
+    def nearest(labels: np.ndarray) -> np.ndarray:
+        means = [_unit(np.bincount(term, w * (right & (given == x))[row], BUCKETS)) for x in labels]
+        return labels[np.stack([np.bincount(row, w * c[term], n) for c in means]).argmax(axis=0)]
+
+    total = np.bincount(given, weight)
+    spoken = np.flatnonzero(np.bincount(given) >= min(12, np.bincount(given).max()))
+    while len(spoken) > 1:
+        near = nearest(spoken)
+        share = np.array([np.bincount(given[near == x], weight[near == x], len(total))[x] / max(weight[near == x].sum(), 1e-9) for x in spoken])
+        holds = (share > 0.5) | (total[spoken] == total[spoken].max())
+        if holds.all():
+            break
+        spoken = spoken[holds]
+    for _ in range(4 if len(spoken) > 1 else 0):
+        right = nearest(spoken) == given
     centers, owner = [], []
-    for script in np.unique(parts.script[order]):
-        members = order[parts.script[order] == script]
-        taken = np.concatenate([members[given[members] == x][:TRAIN_PARTS] for x in np.unique(given[members])])
-        row, term, w = _rows(parts, idf, taken)
-        c, label = _cluster(row, term, w, given[taken], parts.letters[taken], clusters)
-        sizes = np.bincount(label, minlength=len(c))
-        used = np.flatnonzero(sizes >= min(5, sizes.max()))
-        votes = np.stack([np.bincount(given[taken][label == j], minlength=len(languages)) for j in used])
-        # a small or divided cluster has the language of a like one that is neither
-        solid = (sizes[used] >= 12) & (votes.max(axis=1) >= 0.6 * sizes[used])
-        near = c[used] @ c[used].T
-        for k, j in enumerate(used):
-            like = int(np.where(solid, near[k], -1).argmax())
-            like = k if solid[k] or not solid[like] or near[k, like] < ALIKE else like
-            centers.append(c[j])
-            owner.append(votes[like].argmax())
-    model = Model(idf, np.ascontiguousarray(np.stack(centers).T.astype(np.float32)), np.array(owner), languages, np.zeros(len(owner), np.float32))
-    best, cosine = np.zeros(len(parts.text), int), np.zeros(len(parts.text))
-    ends = np.searchsorted(parts.row, np.arange(len(parts.text) + 1))
-    for a in range(0, len(parts.text), 1000):
-        b = min(a + 1000, len(parts.text))
+    for x in spoken.tolist():
+        mine = right & (given == x)
+        if not mine.any():
+            continue
+        place = np.cumsum(mine) - 1
+        on = mine[row]
+        c = _clusters(place[row[on]], term[on], w[on], letters[mine], clusters)
+        centers.append(c)
+        owner += [x] * len(c)
+    voice = Voice(idf, np.ascontiguousarray(np.concatenate(centers).T.astype(np.float32)), np.array(owner), np.zeros(len(owner), np.float32))
+    ends = np.searchsorted(row, np.arange(n + 1))
+    best, cosine = np.zeros(n, int), np.zeros(n)
+    for a in range(0, n, 1000):
+        b = min(a + 1000, n)
         some = slice(ends[a], ends[b])
-        s = model.scores(Parts(parts.text[a:b], *[parts.line[a:b]] * 5, parts.row[some] - a, parts.term[some], parts.count[some]))
+        s = voice.cosines(row[some] - a, term[some], count[some], b - a)
         best[a:b], cosine[a:b] = s.argmax(axis=1), s.max(axis=1)
     for j in range(len(owner)):
-        mine = cosine[(best == j) & (parts.letters >= 8)]
-        model.floor[j] = np.quantile(mine, REJECT_SHARE) * 0.8 if len(mine) else 0
-    return model
+        mine = cosine[best == j]
+        voice.floor[j] = np.quantile(mine, REJECT_SHARE) * 0.8 if len(mine) else 0
+    return voice
 
 
 def named_language(value: Column, names: DataFrame) -> Column:
@@ -290,32 +318,118 @@ def named_language(value: Column, names: DataFrame) -> Column:
     return F.try_element_at(table, F.lower(F.regexp_replace(value, r"(?U)\A\s+|\s+\z", "")))
 
 
-def train(df: DataFrame, names: DataFrame, text_col: str = "text", label_cols: tuple[str, ...] = ("doc_lang", "language"), per_label: int = TRAIN_DOCS) -> Model:
-    """Fits on at most ``per_label`` documents of each label, chosen by hash of
-    their text. The label is the first of ``label_cols`` that names a language."""
-    named = [named_language(F.col(c), names) for c in label_cols if c in df.columns]
-    labelled = df.select(F.coalesce(*named).alias("label"), F.col(text_col).alias("text")).where("label is not null and text is not null and text != ''")
+def agreed_label(df: DataFrame, names: DataFrame, label_cols: tuple[str, ...]) -> tuple[Column, Column]:
+    """The language most of a document's labels name, and whether they are one
+    voice: three labels at least (or all columns, if there are fewer), none of
+    them another language. ``label_cols`` are strings or maps to strings.
+    """
+    votes, most = F.array(), 0
+    for c in label_cols:
+        if c not in df.columns:
+            continue
+        if isinstance(df.schema[c].dataType, T.MapType):
+            given = F.transform(F.coalesce(F.map_values(c), F.array().cast("array<string>")), lambda v: named_language(v, names))
+            most += 2
+        else:
+            given = F.array(named_language(F.col(c), names))
+            most += 1
+        votes = F.concat(votes.cast("array<string>"), given)
+    bound = F.transform(F.array(F.sort_array(F.array_compact(votes))), lambda v: F.struct(v.alias("all"), F.transform(F.array_distinct(v), lambda x: F.struct((-F.size(F.filter(v, lambda y: y == x))).alias("less"), x.alias("name"))).alias("by")))[0]
+    top = F.array_min(bound["by"])
+    return top["name"], (F.size(bound["by"]) == 1) & (F.size(bound["all"]) >= min(3, most))
+
+
+def training_documents(df: DataFrame, names: DataFrame, text_col: str, label_cols: tuple[str, ...], per_label: int) -> DataFrame:
+    """(label, weight, h, text): at most ``per_label`` documents of each label, chosen by
+    hash of their text among those whose labels are one voice; a language that
+    has no such document learns from those whose labels mostly name it."""
+    label, sure = agreed_label(df, names, label_cols)
+    labelled = df.where(F.col(text_col).isNotNull() & (F.col(text_col) != "")).select(label.alias("label"), sure.alias("sure"), F.col(text_col).alias("text")).where("label is not null")
     labelled = labelled.withColumn("h", F.xxhash64("text"))
-    count = {r.label: r.n for r in labelled.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    if not count:
+    # labels are names of the table of languages, a few hundred at most
+    counts = {r.label: (r.sure, r.n) for r in labelled.groupBy("label").agg(F.count_if("sure").alias("sure"), F.count("*").alias("n")).collect()}
+    if not counts:
         raise ValueError("no labelled text to learn from")
-    share = F.create_map(*[F.lit(x) for k, n in count.items() for x in (k, min(1.0, 1.2 * per_label / n))])
-    chosen = labelled.where(F.pmod("h", F.lit(1_000_003)) < share[F.col("label")] * 1_000_003).orderBy("h").limit(int(per_label * 1.3) * len(count)).collect()
-    texts, labels = [], []
-    for r in chosen:
-        texts.append(r.text)
-        labels.append(r.label)
-    return fit(texts, labels)
-
-
-def language_parts(df: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
-    """One row per part: the ``keep`` columns, line_no, begin, end, letters,
-    line_letters, lang (``unknown`` if rejected) and confidence.
-
-    A rejected part of fewer than 20 letters takes the language of the line's
-    next longer part in its script. Null and empty texts, and texts without
-    letters, have no parts. Row-local, no shuffle.
+    span = 1_000_003
+    rules = F.create_map(*[F.lit(x) for k, (sure, n) in sorted(counts.items()) for x in (k, min(span, int(span * 1.3 * per_label / (sure or n)) + 1))])
+    split = [k for k, (sure, _) in counts.items() if not sure]
+    some = labelled.where((F.col("sure") | F.col("label").isin(split)) & (F.pmod("h", F.lit(span)) < rules[F.col("label")]))
+    order = Window.partitionBy("label").orderBy("h")  # about 1.3 times per_label rows each
+    some = some.dropDuplicates(["label", "h"]).withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= per_label)
+    known = F.create_map(*[F.lit(x) for k, (sure, n) in sorted(counts.items()) for x in (k, float(sure or n))])
+    return some.select("label", (known[F.col("label")] / F.count("*").over(Window.partitionBy("label"))).alias("weight"), "h", "text")
+
+
+def train(df: DataFrame, names: DataFrame, text_col: str = "text", label_cols: tuple[str, ...] = ("language", "lang_per_model"), per_label: int = TRAIN_DOCS, clusters: int = CLUSTERS) -> Model:
+    """Fits the centroids, each script's in one task of bounded size (at most
+    ``TRAIN_PARTS`` parts per label); only the centroids reach the driver.
+
+    The sample is bounded in documents and parts: ``per_label`` documents of
+    each label, see ``training_documents``. Raises ValueError if no text has a
+    label and letters.
     """
+    docs = training_documents(df, names, text_col, label_cols, per_label)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            labels, weights, hashes, texts = batch.columns
+            main: dict[int, np.ndarray] = {}
+            for once in (True, False):  # first the letters of each script in a text, then the parts in its main one
+                for pieces, text, _, at in slices(texts.to_pylist()):
+                    p = read_parts(pieces)
+                    of = text[p.text]
+                    if once:
+                        for i in np.unique(of).tolist():
+                            main[i] = main.get(i, 0) + np.bincount(p.script[of == i], p.letters[of == i], 16)
+                        continue
+                    ends = np.searchsorted(p.row, np.arange(len(p.text) + 1))
+                    some = np.flatnonzero((p.letters >= TRAIN_LETTERS) & (np.array([main[i].argmax() for i in of.tolist()]) == p.script))
+                    rows = pa.array(of[some])
+                    mixed = ((hashes.take(rows).to_numpy() ^ (p.begin[some] + at[p.text[some]])) * 2654435761) % (1 << 32)
+                    terms = [p.term[ends[i] : ends[i + 1]].astype("<i4").tobytes() for i in some]
+                    counts = [p.count[ends[i] : ends[i + 1]].astype("<i4").tobytes() for i in some]
+                    columns = [labels.take(rows), weights.take(rows), pa.array(p.script[some].astype(np.int32)), pa.array(p.letters[some].astype(np.int64)), pa.array(mixed.astype(np.int64)), pa.array(terms, pa.binary()), pa.array(counts, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["label", "weight", "script", "letters", "h", "terms", "counts"])
+
+    parts = docs.mapInArrow(cut, "label string, weight double, script int, letters long, h long, terms binary, counts binary")
+    order = Window.partitionBy("script", "label").orderBy("h", "letters", "terms")
+    parts = parts.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= TRAIN_PARTS).drop("_k")
+
+    def learn(group):
+        group = group.sort_values(["h", "letters", "label"], kind="stable")
+        languages, given = np.unique(group["label"], return_inverse=True)
+        terms = [np.frombuffer(x, "<i4") for x in group["terms"]]
+        row = np.repeat(np.arange(len(terms)), [len(x) for x in terms])
+        voice = fit_script(row, np.concatenate(terms), np.concatenate([np.frombuffer(x, "<i4") for x in group["counts"]]), given, group["letters"].to_numpy(), group["weight"].to_numpy(), clusters)
+        whole = pickle.dumps((group["script"].iloc[0], languages[voice.owner].tolist(), voice))
+        return group.iloc[:1][["script"]].assign(voice=[whole])
+
+    found = [pickle.loads(r.voice) for r in parts.groupBy("script").applyInPandas(learn, "script int, voice binary").collect()]
+    if not found:
+        raise ValueError("no labelled text to learn from")
+    languages = sorted({x for _, owner, _ in found for x in owner})
+    for _, owner, voice in found:
+        voice.owner = np.array([languages.index(x) for x in owner])
+    return Model(languages, {int(script): voice for script, _, voice in found})
+
+
+def _classified(texts: list[str], model: Model) -> tuple[Parts, np.ndarray, np.ndarray, np.ndarray]:
+    """Parts of the texts (without their terms), languages, confidences and, for each part, its line's number among all lines."""
+    found, said = [], []
+    for pieces, text, line, at in slices(texts):
+        p = read_parts(pieces)
+        said.append(model.classify(p))
+        none = p.row[:0]
+        found.append(Parts(text[p.text], p.line + line[p.text], p.script, p.letters, p.begin + at[p.text], p.end + at[p.text], none, none, none))
+    p = Parts(*(np.concatenate([getattr(x, f) for x in found]) for f in Parts.__dataclass_fields__))
+    lang, confidence = (np.concatenate(x) for x in zip(*said, strict=True))
+    _, line = np.unique((p.text.astype(np.int64) << 32) | p.line, return_inverse=True)
+    _inherit(lang, confidence, p, line)
+    return p, lang, confidence, line
+
+
+def _from_texts(df: DataFrame, model: Model, keep: list[str], text_col: str, columns: str, make: Callable) -> DataFrame:
+    """Rows of ``make(parts, lang, confidence, line)``: the text of each row, then the arrays of ``columns``."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,55 +437,87 @@ def language_parts(df: DataFrame, model: Model, keep: list[str], text_col: str =
         names = pa.array([*model.languages, UNKNOWN])
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).to_pylist()
-            a = 0
-            while a < len(texts):
-                b, size = a, 0
-                while b < len(texts) and (b == a or size + len(texts[b]) < PART):
-                    size += len(texts[b])
-                    b += 1
-                p = read_parts(texts[a:b])
-                if len(p.text):
-                    lang, confidence = model.classify(p)
-                    key = (p.text.astype(np.int64) << 32) | p.line
-                    _, line = np.unique(key, return_inverse=True)
-                    _inherit(lang, confidence, p, line)
-                    total = np.bincount(line, p.letters)[line]
-                    rows = pa.array(p.text + a)
-                    int32 = lambda x: pa.array(x.astype(np.int32))
-                    spoken = names.take(pa.array(np.where(lang < 0, len(model.languages), lang)))
-                    yield pa.RecordBatch.from_arrays([*[c.take(rows) for c in batch.columns[:-1]], int32(p.line), int32(p.begin), int32(p.end), int32(p.letters), int32(total), spoken, pa.array(confidence.astype(np.float64))], names=[*keep, "line_no", "begin", "end", "letters", "line_letters", "lang", "confidence"])
-                a = b
+            if not texts:
+                continue
+            p, lang, confidence, line = _classified(texts, model)
+            text, spoken, *more = make(p, np.where(lang < 0, len(model.languages), lang), confidence, line)
+            rows = pa.array(text)
+            yield pa.RecordBatch.from_arrays([*[c.take(rows) for c in batch.columns[:-1]], names.take(pa.array(spoken)), *map(pa.array, more)], names=[*keep, *(x.split()[0] for x in columns.split(", "))])
 
     fields = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
     source = df.select(*[F.col(c) for c in keep], F.col(text_col).alias("_text")).where("_text is not null and _text != ''")
-    return source.mapInArrow(run, f"{fields}, line_no int, begin int, end int, letters int, line_letters int, lang string, confidence double")
+    return source.mapInArrow(run, f"{fields}, {columns}")
+
+
+def language_parts(df: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
+    """One row per part: the ``keep`` columns, lang (``unknown`` if rejected),
+    line_no, begin, end, letters, line_letters and confidence.
+
+    A rejected part of fewer than 20 letters takes the language of the line's,
+    else of the text's, other parts in its script, else of the nearest centroid. Null and
+    empty texts, and texts without letters, have no parts. Row-local, no shuffle.
+    """
+
+    def make(p, lang, confidence, line):
+        int32 = lambda x: x.astype(np.int32)
+        return p.text, lang, int32(p.line), int32(p.begin), int32(p.end), int32(p.letters), int32(np.bincount(line, p.letters)[line]), confidence.astype(np.float64)
+
+    return _from_texts(df, model, keep, text_col, "lang string, line_no int, begin int, end int, letters int, line_letters int, confidence double", make)
+
+
+def line_languages(df: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
+    """One row per line and language: the ``keep`` columns, lang (``unknown`` if
+    rejected), line_no, its letters and line_letters. Row-local, no shuffle."""
+
+    def make(p, lang, confidence, line):
+        span = int(lang.max(initial=0)) + 1
+        key, first, back = np.unique(line.astype(np.int64) * span + lang, return_index=True, return_inverse=True)
+        letters = np.bincount(back, p.letters, len(key))
+        total = np.bincount(line, p.letters)[line[first]]
+        return p.text[first], lang[first], p.line[first].astype(np.int32), letters.astype(np.int32), total.astype(np.int32)
+
+    return _from_texts(df, model, keep, text_col, "lang string, line_no int, letters int, line_letters int", make)
 
 
 def _inherit(lang: np.ndarray, confidence: np.ndarray, p: Parts, line: np.ndarray) -> None:
-    """Unsure parts follow sure ones of their script: rejected short ones those
-    of their line, undecided ones (little nearer to one language than to
-    another) those of their text."""
+    """Unsure parts follow sure ones of their script: undecided ones (little
+    nearer to one language than to another) those of their text, rejected short
+    ones those of their line, else of their text. Short ones with none to follow
+    stay with the nearest: too few n-grams make a cosine small by itself."""
+    if not len(lang):
+        return
+    span = int(lang.max(initial=0)) + 1
 
     def follow(who: np.ndarray, group: np.ndarray, sure: np.ndarray) -> None:
-        weight: dict[tuple[int, int], dict[int, int]] = {}
-        wanted = {(int(group[i]), int(p.script[i])) for i in who}
-        for i in np.flatnonzero(sure).tolist():
-            if (k := (int(group[i]), int(p.script[i]))) in wanted:
-                votes = weight.setdefault(k, {})
-                votes[int(lang[i])] = votes.get(int(lang[i]), 0) + int(p.letters[i])
-        for i in who.tolist():
-            if votes := weight.get((int(group[i]), int(p.script[i]))):
-                lang[i] = max(sorted(votes), key=votes.__getitem__)
+        if not len(who):
+            return
+        key = group.astype(np.int64) * 256 + p.script
+        wanted = np.unique(key[who])
+        voters = np.flatnonzero(sure & np.isin(key, wanted))
+        if not len(voters):
+            return
+        vote, back = np.unique(key[voters] * span + lang[voters], return_inverse=True)
+        weight = np.bincount(back, p.letters[voters], len(vote))
+        order = np.lexsort((vote % span, -weight, vote // span))  # most letters first, then the first language
+        groups, first = np.unique(vote[order] // span, return_index=True)
+        best = vote[order][first] % span
+        at = np.minimum(np.searchsorted(groups, key[who]), len(groups) - 1)
+        told = groups[at] == key[who]
+        lang[who[told]] = best[at[told]]
 
     sure = (lang >= 0) & (confidence >= UNSURE)
     follow(np.flatnonzero((lang >= 0) & ~sure), p.text, sure)
-    follow(np.flatnonzero((lang < 0) & (p.letters < 20)), line, lang >= 0)
+    short = p.letters < 20
+    follow(np.flatnonzero((lang < 0) & short), line, lang >= 0)
+    follow(np.flatnonzero((lang < 0) & short), p.text, lang >= 0)
+    alone = (lang < -1) & short
+    lang[alone] = -2 - lang[alone]
 
 
-def foreign_lines(parts: DataFrame, named: str = "named", id_col: str = "doc_id") -> DataFrame:
-    """(id, line_no, lang) for languages with a third of a line's letters other than the named one."""
-    sums = parts.groupBy(id_col, named, "line_no", "lang").agg(F.sum("letters").alias("n"), F.max("line_letters").alias("total"), F.count("*").alias("_k"))
-    return sums.where((F.col("lang") != UNKNOWN) & (F.col("n") * 3 >= F.col("total")) & ~F.col("lang").eqNullSafe(F.col(named))).select(id_col, "line_no", "lang").distinct()
+def foreign_lines(lines: DataFrame, named: str = "named", id_col: str = "doc_id") -> DataFrame:
+    """(id, line_no, lang) for languages with a third of a line's letters other
+    than the named one, from ``line_languages``; each once."""
+    return lines.where((F.col("lang") != UNKNOWN) & (F.col("letters") * 3 >= F.col("line_letters")) & ~F.col("lang").eqNullSafe(F.col(named))).select(id_col, "line_no", "lang").distinct()
 
 
 def document_languages(parts: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -79,19 +79,21 @@ def p9_shares(spark, d):
     return mixing.reached_shares(*_mixture(spark, d))
 
 
-def _language_parts(spark, d):
+def _lid(spark, d):
     lid, names = _table(spark, d, "lid"), _table(spark, d, "lang_names")
-    model = language.train(lid, names)
-    once = lid.select("doc_id", language.named_language(F.col("language"), names).alias("named"), "text").where("text is not null").distinct()
-    return language.language_parts(once, model, ["doc_id", "named"])
+    named = lid.select("doc_id", language.named_language(F.col("language"), names).alias("named"), "text")
+    return named, language.train(lid, names)
 
 
 def p7_found(spark, d):
-    return language.foreign_lines(_language_parts(spark, d))
+    named, model = _lid(spark, d)
+    return language.foreign_lines(language.line_languages(named, model, ["doc_id", "named"]))
 
 
 def p7_documents(spark, d):
-    return language.document_languages(_language_parts(spark, d))
+    named, model = _lid(spark, d)
+    once = named.select("doc_id", "text").distinct()
+    return language.document_languages(language.language_parts(once, model, ["doc_id"]))
 
 
 def p4_found(spark, d):

@@ -149,19 +149,6 @@ def test_text_kinds(spark):
     assert quality.text_statistics(df, text_col="uncleaned_text").count() == 8
 
 
-def test_language_model_survives_wrong_labels():
-    rng = random.Random(7)
-    english = ["the cat sat on the mat and the dog ran", "she was in the house with him", "it is a fine day for that"]
-    hindi = ["यह घर में है और वह नहीं है", "लोग साथ में काम करते हैं", "पानी और बिजली के लिए योजना"]
-    texts = [rng.choice(english) for _ in range(200)] + [rng.choice(hindi) for _ in range(200)]
-    labels = ["english" if rng.random() < 0.85 else "hindi" for _ in range(200)] + ["hindi" if rng.random() < 0.85 else "english" for _ in range(200)]
-    model = language.fit(texts, labels)
-    parts = language.read_parts(["the cat sat on the mat and the dog ran. पानी और बिजली के लिए योजना"])
-    lang, _ = model.classify(parts)
-    assert [model.languages[i] for i in lang] == ["english", "hindi"]
-    assert len(language.read_parts(["", "12 !"]).text) == 0
-
-
 def test_disguised_terms_and_quotes():
     t = toxicity.Terms([("grubwit", "abusive"), ("wuzzle-eater", "abusive"), ("चपलोट", "abusive")])
     for s in ("grubwit", "GRUBWITS", "gr*bwit", "g r u b w i t", "grübwît", "gru​bwit", "grubwiiiit", "grubw17", "g.r.u.b.w.i.t", "wuzzl3-3473r", "च*पलोट"):
@@ -223,12 +210,3 @@ def test_empty_tables(spark):
     assert pagebody.main_content(docs, html_col="text").count() == 0
     scans = spark.createDataFrame([], "doc_id string, url string, source string, language string, page_no string, identifier string, pdf_name string, text string")
     assert ocr.noise_items(scans).count() == 0
-
-
-def test_language_sample_is_whole_and_read_in_slices(monkeypatch):
-    texts = ["One line here.\nNamaste. Two lines.", "", "हिन्दी का वाक्य।", "Another text, then."]
-    whole = language.read_parts(texts)
-    monkeypatch.setattr(language, "PART", 5)
-    sliced = language.read_all_parts(texts)
-    assert all((getattr(whole, f) == getattr(sliced, f)).all() for f in language.Parts.__dataclass_fields__)
-    assert language.TRAIN_DOCS == 600
