@@ -2,14 +2,16 @@
 
 A span longer than the limit is cut at the strongest boundary near its middle
 (paragraph > line > sentence > word > any character), and its halves again
-until every span fits the limit minus the overlap; then each piece but the
-first is extended to the left by the overlap. All spans of an Arrow batch are
-bisected together, level by level, with sorted boundary arrays.
+until every span fits: the first of a text the limit, the others the limit
+minus the overlap. Then each piece but the first is extended to the left by the
+overlap, which the first span is never shorter than. All spans of an Arrow
+batch are bisected together, level by level, with sorted boundary arrays.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +21,8 @@ from pyspark.sql import functions as F
 from lekhani.llm.encode import DEFAULT_TOKENIZER, PrefixBpe, encoder
 
 PARAGRAPH, LINE, SENTENCE, WORD, CHARACTER = 4, 3, 2, 1, 0
-#: Words of more tokens than this may be cut between characters.
+#: Words of more tokens than this may be cut between characters; of fewer, if a
+#: size leaves pieces less room.
 LONG_WORD = 12
 #: Characters handled at once, which bounds a worker's memory.
 PART = 500_000
@@ -50,12 +53,24 @@ class _WordShape(dict):
 _SHAPES = _WordShape()
 
 
-def boundaries(bpe: PrefixBpe, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+@dataclass
+class Boundaries:
     """Possible cuts of many texts laid end to end.
 
     Token offset, character offset and strength of every boundary, and the
     index of each text's begin among them (one more entry for the last end).
+    Of words with boundaries inside: first token, first character, tokens.
     """
+
+    tok: np.ndarray
+    char: np.ndarray
+    strength: np.ndarray
+    begin: np.ndarray
+    opened: tuple[np.ndarray, list[tuple[int, str, bytes]]]
+
+
+def boundaries(bpe: PrefixBpe, texts: list[str], long_word: int = LONG_WORD) -> Boundaries:
+    """Boundaries between the words of texts, and inside words of more than ``long_word`` tokens."""
     found = [bpe.words.findall(t) for t in texts]
     begin = np.concatenate([[0], np.cumsum([len(w) for w in found])])
     words = [w for ws in found for w in ws]
@@ -80,19 +95,21 @@ def boundaries(bpe: PrefixBpe, texts: list[str]) -> tuple[np.ndarray, np.ndarray
     strength[1:-1] = s
     strength[begin] = CHARACTER
     tok, char = np.concatenate([[0], np.cumsum(n)]), np.concatenate([[0], np.cumsum(size)])
-    if (n > LONG_WORD).any():
-        tok, char, strength, begin = _inside_long_words(bpe, words, packed, n, tok, char, strength, begin)
-    return tok, char, strength, begin
+    found_long = np.flatnonzero(n > long_word)
+    opened = (tok[found_long], [(c, words[k], packed[k]) for k, c in zip(found_long.tolist(), char[found_long].tolist())])
+    if len(found_long):
+        tok, char, strength, begin = _inside_words(bpe, opened, tok, char, strength, begin)
+    return Boundaries(tok, char, strength, begin, opened)
 
 
-def _inside_long_words(bpe, words, packed, n, tok, char, strength, begin):
-    """Adds the token borders inside long words that fall between characters."""
+def _inside_words(bpe, opened, tok, char, strength, begin):
+    """Adds the token borders inside opened words that fall between characters."""
     extra_t, extra_c = [], []
-    for k in np.flatnonzero(n > LONG_WORD):
-        starts, ends = _token_ends(bpe, words[k], packed[k])
+    for t, (c, word, packed) in zip(opened[0].tolist(), opened[1]):
+        starts, ends = _token_ends(bpe, word, packed)
         ok = starts[ends]
-        extra_t.append(tok[k] + 1 + np.flatnonzero(ok))
-        extra_c.append(char[k] + np.cumsum(starts)[ends[ok]] - 1)
+        extra_t.append(t + 1 + np.flatnonzero(ok))
+        extra_c.append(c + np.cumsum(starts)[ends[ok]] - 1)
     more_t, more_c = np.concatenate(extra_t), np.concatenate(extra_c)
     at = np.searchsorted(tok, more_t)
     return np.insert(tok, at, more_t), np.insert(char, at, more_c), np.insert(strength, at, CHARACTER), begin + np.searchsorted(more_t, tok[begin])
@@ -105,60 +122,70 @@ def _token_ends(bpe: PrefixBpe, word: str, packed: bytes) -> tuple[np.ndarray, n
     return np.frombuffer(word.encode("utf-8"), np.uint8) & 0xC0 != 0x80, ends
 
 
-def bisect(tok: np.ndarray, strength: np.ndarray, begin: np.ndarray, end: np.ndarray, limit: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Cuts the spans [begin, end) (indices into ``tok``) down to ``limit`` tokens.
+def bisect(tok: np.ndarray, strength: np.ndarray, begin: np.ndarray, end: np.ndarray, limit: np.ndarray, overlap: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cuts whole texts [begin, end) (indices into ``tok``) into spans.
 
-    ``group`` is carried along. Returns begin, end, group of all final spans.
-    A cut has to lie in the middle half of its span unless nothing does.
+    The first span of a text gets at most ``limit`` tokens and at least
+    ``overlap``, the others at most ``limit - overlap``. ``group`` is carried
+    along. Returns begin, end, group of all final spans. A cut has to lie in the
+    middle half of its span unless no word ends there.
     """
-    ladders = [np.flatnonzero(strength >= s) for s in (PARAGRAPH, LINE, SENTENCE, WORD, CHARACTER)]
+    ladders = [(np.flatnonzero(strength >= s), half) for s, half in ((PARAGRAPH, True), (LINE, True), (SENTENCE, True), (WORD, True), (WORD, False), (CHARACTER, False))]
+    first = np.ones(len(begin), bool)
     done = []
     while len(begin):
         size = tok[end] - tok[begin]
-        fits = (size <= limit) | (end - begin <= 1)
+        fits = size <= np.where(first, limit, limit - overlap)
         if fits.any():
             done.append((begin[fits], end[fits], group[fits]))
-            begin, end, limit, group, size = (x[~fits] for x in (begin, end, limit, group, size))
+            begin, end, limit, overlap, group, first, size = (x[~fits] for x in (begin, end, limit, overlap, group, first, size))
             if not len(begin):
                 break
         middle = tok[begin] + size / 2
+        least = tok[begin] + np.where(first, overlap, 0)
         cut = np.full(len(begin), -1)
-        for ladder in ladders:
+        for ladder, half in ladders:
             open_ = np.flatnonzero(cut < 0)
             if not len(open_) or not len(ladder):
                 continue
-            m = middle[open_]
+            m, reach = middle[open_], size[open_] / 4 if half else np.inf
             right = np.searchsorted(tok[ladder], m, "left")
-            a, b = ladder[np.maximum(right - 1, 0)], ladder[np.minimum(right, len(ladder) - 1)]
-            near = np.where(np.abs(tok[a] - m) <= np.abs(tok[b] - m), a, b)
-            inner = (near > begin[open_]) & (near < end[open_])
-            if ladder is not ladders[-1]:
-                inner &= np.abs(tok[near] - m) <= size[open_] / 4
-            cut[open_[inner]] = near[inner]
-        # no boundary strictly inside on the nearest side: take the one at hand
-        lost = cut < 0
-        cut[lost] = np.clip((begin[lost] + end[lost]) // 2, begin[lost] + 1, end[lost] - 1)
-        begin, end = np.concatenate([begin, cut]), np.concatenate([cut, end])
-        limit, group = np.concatenate([limit, limit]), np.concatenate([group, group])
+            best, gap = np.full(len(open_), -1), np.full(len(open_), np.inf)
+            for near in (ladder[np.maximum(right - 1, 0)], ladder[np.minimum(right, len(ladder) - 1)]):
+                away = np.abs(tok[near] - m)
+                ok = (near > begin[open_]) & (near < end[open_]) & (tok[near] >= least[open_]) & (away <= reach) & (away < gap)
+                best, gap = np.where(ok, near, best), np.where(ok, away, gap)
+            cut[open_] = best
+        if (cut < 0).any():
+            raise ValueError("a piece's limit leaves no room for one character")
+        begin, end, first = np.concatenate([begin, cut]), np.concatenate([cut, end]), np.concatenate([first, np.zeros(len(cut), bool)])
+        limit, overlap, group = (np.concatenate([x, x]) for x in (limit, overlap, group))
     if not done:
         return begin, end, group
     return tuple(np.concatenate(x) for x in zip(*done))
 
 
-def _character_at(bpe: PrefixBpe, text: str, tok: np.ndarray, char: np.ndarray, at: np.ndarray) -> np.ndarray:
+def _character_at(bpe: PrefixBpe, text: str, found: Boundaries, at: np.ndarray) -> np.ndarray:
     """Character that holds the first byte of token ``at`` (any token)."""
+    tok, char, (opened, words) = found.tok, found.char, found.opened
     k = np.searchsorted(tok, at, "right") - 1
     out = char[k]
-    known: dict[str, np.ndarray] = {}
+    known: dict[object, np.ndarray] = {}
     inner = np.flatnonzero(tok[k] != at)
+    holder = np.searchsorted(opened, at[inner], "right") - 1
     # the part may begin inside a word, between two boundaries
-    for j, a, b, t in zip(inner.tolist(), char[k[inner]].tolist(), char[k[inner] + 1].tolist(), (at[inner] - tok[k[inner]]).tolist()):
-        word = text[a:b]
-        places = known.get(word)
+    for j, a, b, t0, t, h in zip(inner.tolist(), char[k[inner]].tolist(), char[k[inner] + 1].tolist(), tok[k[inner]].tolist(), at[inner].tolist(), holder.tolist()):
+        start, word, packed = words[h] if h >= 0 else (0, "", b"")
+        if h >= 0 and t < opened[h] + len(packed) // 4:  # its tokens are those of the whole word
+            key, t0 = h, opened[h]
+        else:
+            key = word = text[a:b]
+            start, packed = a, bpe.packed[word]
+        places = known.get(key)
         if places is None:
-            starts, ends = _token_ends(bpe, word, bpe.packed[word])
-            places = known[word] = np.cumsum(starts)[ends] - 1
-        out[j] += places[t - 1]
+            starts, ends = _token_ends(bpe, word, packed)
+            places = known[key] = np.cumsum(starts)[ends] - 1
+        out[j] = start + places[t - t0 - 1]
     return out
 
 
@@ -173,8 +200,8 @@ def split_long_texts(df: DataFrame, sizes: list[tuple[str, int, int]], id_col: s
     with that whole character. Without overlaps the pieces join to the text.
 
     Null, empty and short texts have no piece. Every row counts for itself,
-    repeated rows too. Sizes with null limits, or an overlap not below half
-    the limit, raise ValueError. Row-local, no shuffle; the list of sizes is a
+    repeated rows too. Sizes with null limits or limits below 8, or an overlap
+    not below half the limit, raise ValueError. Row-local, no shuffle; the list of sizes is a
     configuration and small by nature.
     """
     for name, most, overlap in sizes:
@@ -208,12 +235,13 @@ def split_long_texts(df: DataFrame, sizes: list[tuple[str, int, int]], id_col: s
 
 def _pieces(bpe: PrefixBpe, texts: list[str], ids: pa.Array, names: list[str], most: np.ndarray, overlap: np.ndarray) -> pa.RecordBatch | None:
     """All pieces of some texts in all sizes, ordered by text, size and place."""
-    tok, char, strength, begin = boundaries(bpe, texts)
+    found = boundaries(bpe, texts, min(LONG_WORD, int((most - overlap).min())))
+    tok, char, begin = found.tok, found.char, found.begin
     length = tok[begin[1:]] - tok[begin[:-1]]
     doc, size = np.nonzero(length[:, None] > most[None, :])
     if not len(doc):
         return None
-    b, e, g = bisect(tok, strength, begin[doc], begin[doc + 1], (most - overlap)[size], np.arange(len(doc)))
+    b, e, g = bisect(tok, found.strength, begin[doc], begin[doc + 1], most[size], overlap[size], np.arange(len(doc)))
     order = np.lexsort((b, g))
     b, e, g = b[order], e[order], g[order]
     counts = np.bincount(g)
@@ -224,7 +252,7 @@ def _pieces(bpe: PrefixBpe, texts: list[str], ids: pa.Array, names: list[str], m
     text = "".join(texts)
     c0, c1 = char[b].copy(), char[e]
     back = start != tok[b]
-    c0[back] = _character_at(bpe, text, tok, char, start[back])
+    c0[back] = _character_at(bpe, text, found, start[back])
     cut = [text[x:y] for x, y in zip(c0.tolist(), c1.tolist())]
     t0, base = tok[begin[d]], char[begin[d]]
     int32 = lambda x: pa.array(x.astype(np.int32))
