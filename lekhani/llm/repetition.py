@@ -59,25 +59,29 @@ DEFAULT_RULES = (
 
 def words_of(text: Column) -> Column:
     """Lower-case words without marks at their ends; words of marks only vanish."""
-    bare = F.regexp_replace(F.lower(text), rf"(?<!{SPACE[:-1].replace('[', '[^', 1)}]){MARK}+|{MARK}+(?={SPACE}|\z)", "")
+    # each run of marks is looked at once: it is never given back and never begun inside
+    bare = F.regexp_replace(F.lower(text), rf"(?<!{SPACE[:-1].replace('[', '[^', 1)}]){MARK}++|(?<!{MARK}){MARK}++(?={SPACE}|\z)", "")
     return F.filter(F.split(bare, f"{SPACE}+"), lambda w: w != "")
 
 
 def repeated_words(words: Column, n: int) -> Column:
     """How many words lie in runs of n words that began earlier in the array.
 
-    Hashes of all n-grams are sorted with their places; in the sorted array a
-    gram equal to its left neighbour is a repeat, and the union of the repeats'
-    spans is a sum over neighbouring places. An earlier occurrence may overlap.
+    Every word is hashed once, every n-gram as the hashes of its words. Grams are
+    sorted with their places; in the sorted array a gram equal to its left
+    neighbour is a repeat, and the union of the repeats' spans is a sum over
+    neighbouring places. An earlier occurrence may overlap.
     """
-    grams = F.transform(F.sequence(F.lit(1), F.size(words) - (n - 1)), lambda i: F.struct(F.xxhash64(F.slice(words, i, n)).alias("h"), i.alias("i")))
-    ordered = F.sort_array(grams)
+
+    def ordered(h: Column) -> Column:
+        grams = F.transform(F.sequence(F.lit(0), F.size(h) - n), lambda i: F.struct(F.xxhash64(*[F.get(h, i + k) for k in range(n)]).alias("h"), i.alias("i")))
+        return F.sort_array(grams)
 
     def covered(sorted_grams: Column) -> Column:
         repeats = F.filter(F.transform(sorted_grams, lambda g, k: F.when((k > 0) & (F.get(sorted_grams, k - 1)["h"] == g["h"]), g["i"])), lambda i: i.isNotNull())
         return _let(F.sort_array(repeats), lambda r: F.aggregate(F.transform(r, lambda i, k: F.coalesce(F.least(F.get(r, k + 1) - i, F.lit(n)), F.lit(n))), F.lit(0), lambda a, x: a + x))
 
-    return F.when(F.size(words) > n, _let(ordered, covered)).otherwise(0)
+    return F.when(F.size(words) > n, _let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: _let(ordered(h), covered))).otherwise(0)
 
 
 def bound_words(text: Column, body) -> Column:
