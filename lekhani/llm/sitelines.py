@@ -1,12 +1,13 @@
 """Lines repeated across one site's documents.
 
 Texts are cut by content: a rolling hash over the last characters of the
-normalised stream (letters only in lower case; digits, spacing and line ends
-are not part of it) decides where a chunk ends, so equal passages are cut
-alike wherever they stand. Distinct documents per (site, chunk) are counted,
-chunks on too large a part of a site's documents are repeated, and an exact
-count settles the lines that carry them. A line too short to hold a whole
-chunk is a chunk itself.
+normalised stream (letters in lower case; digits, spacing and marks at a line's
+ends are not part of it) decides where a chunk ends, so equal passages are cut
+alike wherever they stand. A line's ends are cuts too: the lines to find may be
+shorter than any chunk, and between changing neighbours no chunk of theirs
+would ever be seen twice. Distinct documents per (site, chunk) are counted. A
+line of one chunk is repeated with it; for one of several, its first chunk has
+to be, and then the row of its chunks is counted too.
 """
 
 from __future__ import annotations
@@ -92,17 +93,18 @@ class LineHasher:
             ends = np.arange(WINDOW, len(c) + 1)
             cut = ends[span(ends - WINDOW, ends) % np.uint64(MEAN_CHUNK) == 0]
             owner = np.searchsorted(first, cut - WINDOW, "right") - 1
-            inside = (owner >= 0) & (cut <= last[np.maximum(owner, 0)])
-            cut, owner = cut[inside], owner[inside]
-            pair = np.flatnonzero(owner[1:] == owner[:-1]) if len(cut) > 1 else np.zeros(0, np.int64)
-            chunk, holder = span(cut[pair], cut[pair + 1]), owner[pair]
-        count = np.bincount(holder, minlength=len(which))
-        lone = np.flatnonzero(count == 0)
-        holder, chunk = np.concatenate([holder, lone]), np.concatenate([chunk, key[lone]])
-        order = np.argsort(holder, kind="stable")
+            inside = (owner >= 0) & (cut < last[np.maximum(owner, 0)])
+            # chunks lie between neighbouring cuts, the line's ends among them
+            bounds = np.concatenate([first, cut[inside], last])
+            holder = np.concatenate([np.arange(len(which)), owner[inside], np.arange(len(which))])
+            order = np.lexsort((bounds, holder))
+            bounds, holder = bounds[order], holder[order]
+            pair = np.flatnonzero(holder[1:] == holder[:-1])
+            chunk = span(bounds[pair], bounds[pair + 1])
+        count = np.bincount(holder[pair], minlength=len(which))
         begin = np.concatenate([[0], np.cumsum(per_text)])
         text = np.searchsorted(begin, which, "right") - 1
-        return text, which - begin[text], key.view(np.int64), np.maximum(count, 1), chunk[order].view(np.int64)
+        return text, which - begin[text], key.view(np.int64), count, chunk.view(np.int64)
 
     @staticmethod
     def _finish(h: np.ndarray) -> np.ndarray:
@@ -152,7 +154,7 @@ def hashed_lines(df: DataFrame, id_col: str = "doc_id", url_col: str = "url", te
 def site_sizes(df: DataFrame, id_col: str = "doc_id", url_col: str = "url") -> DataFrame:
     """Distinct documents per site, texts or not (site, site_docs)."""
     keyed = df.select(site_of(F.col(url_col)).alias("_host"), F.col(id_col).alias("doc")).where("_host is not null and doc is not null")
-    return keyed.select(F.xxhash64("_host").alias("site"), "doc").distinct().groupBy("site").agg(F.count("*").alias("site_docs"))
+    return keyed.select(F.xxhash64("_host").alias("site"), F.xxhash64("doc").alias("d")).distinct().groupBy("site").agg(F.count("*").alias("site_docs"))
 
 
 def repeated_site_lines(df: DataFrame, id_col: str = "doc_id", url_col: str = "url", text_col: str = "text", min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> DataFrame:
@@ -161,21 +163,25 @@ def repeated_site_lines(df: DataFrame, id_col: str = "doc_id", url_col: str = "u
 
     Lines that differ only in letter case, digits, spacing or marks at either
     end are the same line. Rows without id, url or text have no lines; repeated
-    rows of a document count once. Plan: chunk rows are pre-aggregated per task
-    (site, chunk), so a hot site or line never gathers in one task; only lines
-    whose chunk is repeated go on to the exact distinct count; no sorting or
-    collecting within a site.
+    rows of a document count once. Plan: documents are distinct per (site,
+    chunk, document) before they are counted, so a hot site or line never
+    gathers in one task; texts are read twice, for the chunks and for the lines.
     """
     lines = hashed_lines(df, id_col, url_col, text_col)
     sizes = site_sizes(df, id_col, url_col)
-    enough = lambda n: (F.col(n) >= min_docs) & (F.col(n) >= F.lit(min_share) * F.col("site_docs"))
-    # an upper bound first (repeated rows count), so that distinct documents are only counted for few chunks
-    chunks = lines.select("site", F.explode("chunks").alias("chunk")).groupBy("site", "chunk").agg(F.count("*").alias("n"))
-    repeated = chunks.where(F.col("n") >= min_docs).join(sizes, "site").where(enough("n")).select("site", F.col("chunk").alias("mark"))
-    suspects = lines.select("site", F.col("chunks")[0].alias("mark"), "doc", "line_no", "key").join(repeated, ["site", "mark"], "left_semi").drop("mark")
-    counts = suspects.select("site", "key", "doc").distinct().groupBy("site", "key").agg(F.count("*").alias("docs"))
-    settled = counts.where(F.col("docs") >= min_docs).join(sizes, "site").where(enough("docs")).select("site", "key")
-    return suspects.join(settled, ["site", "key"], "left_semi").select(F.col("doc").alias(id_col), "line_no").distinct()
+
+    def repeated(rows: DataFrame, what: str) -> DataFrame:
+        counts = rows.select("site", what, "d").distinct().groupBy("site", what).agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
+        return counts.join(sizes, "site").where(F.col("docs") >= F.lit(min_share) * F.col("site_docs")).select("site", what)
+
+    chunks = repeated(lines.select("site", F.explode("chunks").alias("chunk"), F.xxhash64("doc").alias("d")), "chunk")
+    # the key of a line of one chunk is the chunk's
+    single = F.size("chunks") == 1
+    suspects = lines.select("site", F.col("chunks")[0].alias("chunk"), "doc", "line_no", F.when(~single, F.col("key")).alias("key")).join(chunks, ["site", "chunk"], "left_semi")
+    several = suspects.where("key is not null")
+    keys = repeated(several.select("site", "key", F.xxhash64("doc").alias("d")), "key")
+    found = suspects.where("key is null").select("doc", "line_no").union(several.join(keys, ["site", "key"], "left_semi").select("doc", "line_no"))
+    return found.distinct().withColumnRenamed("doc", id_col)
 
 
 def strip_site_lines(df: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
