@@ -23,6 +23,8 @@ ENCODED_WORD = r"(?<![^\s=:,;\[\]()])(?=[A-Za-z0-9+/_\-]*[0-9])(?=[A-Za-z0-9+/_\
 LOG_LINE = r"\A\s*(?:\[?\d{4}-\d\d-\d\d[T ])?\[?\d\d:\d\d:\d\d\]?.*|\A.*\b(?:ERR|ERROR|WARN|WARNING|INFO|DEBUG|TRACE|FATAL)\b.*(?:0x[0-9a-f]+|=\d).*"
 #: Letter pairs and runs that no readable Latin-script word has.
 UNREADABLE = r"(?i)[bcdfghjklmnpqrstvwxz]{5,}|q[^u\W\d_]|[jqvxw][bcdfgjkmpqtvxz]|[bcdfghjklmnpqrtvwxz][jqx]|[aeiou]{4,}|[aeiouy][aeiouy]{3,}|[dfgpt]k|k[dgjpt]|[fgkpdj]w|wj|[hjdgk]f|f[dghjkpq]|[jqwr]{2,}|p[dgjkq]|[dgjk]p"
+#: Words too long for any language that sets blanks between words.
+RUN_ON = r"(?<![\p{L}\p{M}\p{Nd}])[\p{L}\p{M}\p{Nd}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]]{40,}+"
 BULLET = r"\A\s*(?:[•●▪◦‣·*»›→✓–—\-]\s|[*•●▪◦‣»]\S|o\s|\(?(?:\p{Nd}{1,3}|[a-zA-Z]|[ivxIVX]{1,4})[.)]\s|\p{Nd}{1,3}\s[-–—]\s)"
 ITEM_COUNT = r"\s\(\p{Nd}+\)\s*\z"
 CELLS = r"\A\s*\|.*\|\s*\z|\t.*\t|\A[^\t]+\t[^\t]*\p{Nd}[^\t]*\z"
@@ -43,9 +45,14 @@ def line_kind(line: Column) -> Column:
     latin = count(r"[A-Za-z]{2,}")
     # unreadable pairs per Latin word; mashed keys have one in most words
     mashed = (latin >= 3) & (count(r"[A-Za-z]") > n * 0.6) & (count(UNREADABLE) > latin * 0.5) & (count(r"[A-Z][a-z]") < latin * 0.3)
-    junk = (count(JUNK_SYMBOLS) > n * 0.5) | (count(MOJIBAKE) > n * 0.12) | (encoded > n * 0.5) | line.rlike(LOG_LINE) | mashed
+    run_on = F.length(line) - F.length(F.regexp_replace(line, RUN_ON, ""))
+    junk = (count(JUNK_SYMBOLS) > n * 0.5) | (count(MOJIBAKE) > n * 0.12) | (encoded > n * 0.5) | line.rlike(LOG_LINE) | mashed | (run_on > n * 0.3)
     table = line.rlike(CELLS) | (line.rlike(ALIGNED) & ~ended) | (line.rlike(SEPARATED) & line.rlike(NUMBER_CELL) & ~ended) | (line.rlike(PAIR) & ~ended & (words <= 12))
-    listed = line.rlike(BULLET) | line.rlike(ITEM_COUNT) | ((words <= 8) & ~ended) | ((count(r"\S [/|·•] \S") >= 3) & (count(r"\S [/|·•] \S") * 8 >= words))
+    # items set one after another: many commas or semicolons, hardly a common word
+    commas = count("[,;،؛、]")
+    common = F.size(F.filter(F.split(F.lower(line), r"[\s\p{P}]+"), lambda w: w.isin(STOP_WORDS)))
+    run_in = (commas >= 2) & (commas >= words * 0.18) & ~ended & (common <= words * 0.1)
+    listed = run_in | line.rlike(BULLET) | line.rlike(ITEM_COUNT) | ((words <= 8) & ~ended) | ((count(r"\S [/|·•] \S") >= 3) & (count(r"\S [/|·•] \S") * 8 >= words))
     return F.when(junk & ~line.rlike(r"\A\s*\|.*\|\s*\z"), "junk").when(table, "table").when(listed, "list").otherwise("prose")
 
 
@@ -73,16 +80,29 @@ def lines_of(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, r"\r\n|\n|\r"), lambda x: F.regexp_replace(x, r"(?U)\A\s+|\s+\z", "")), lambda x: x != "")
 
 
+KINDS = ("junk", "table", "list", "boilerplate", "prose")
+
+
 def kind_shares(lines: Column) -> Column:
-    """map(kind -> share of the lines' characters)."""
-    kinds = F.transform(lines, lambda x: F.struct(line_kind(x).alias("kind"), F.length(x).alias("n")))
+    """map(kind -> share of the lines' characters).
+
+    A line that would be prose by its shape but stands in the text more than
+    once is boilerplate.
+    """
+    kinds = F.sort_array(F.transform(lines, lambda x: F.struct(x.alias("line"), line_kind(x).alias("kind"), F.length(x).alias("n"))))
+
+    def twice(k: Column) -> Column:
+        same = lambda x, i: F.coalesce(F.get(k, i)["line"] == x["line"], F.lit(False))
+        again = lambda x, i: (x["kind"] == "prose") & (same(x, i - 1) | same(x, i + 1))
+        return F.transform(k, lambda x, i: F.struct(F.when(again(x, i), "boilerplate").otherwise(x["kind"]).alias("kind"), x["n"].alias("n")))
+
     chars = lambda k: F.aggregate(k, F.lit(0), lambda a, x: a + x["n"])
 
     def shares(k: Column) -> Column:
         part = lambda kind: F.coalesce(T.ratio(chars(F.filter(k, lambda x: x["kind"] == kind)), chars(k)), F.lit(0.0))
-        return F.create_map(*[x for kind in ("junk", "table", "list", "prose") for x in (F.lit(kind), part(kind))])
+        return F.create_map(*[x for kind in KINDS for x in (F.lit(kind), part(kind))])
 
-    return _let(kinds, shares)
+    return _let(kinds, lambda k: _let(twice(k), shares))
 
 
 def text_statistics(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -91,7 +111,6 @@ def text_statistics(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     words_count and symbol_ratio are the ones stored tables should hold.
     """
     base = df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    stop = F.array(*map(F.lit, STOP_WORDS))
     share = lambda a, b: F.coalesce(T.ratio(a, b), F.lit(0.0))
     text = F.col("_text")
 
@@ -99,7 +118,7 @@ def text_statistics(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         n = F.size(words)
         return F.struct(
             share(F.length(F.array_join(words, "")), n).alias("mean_word_length"),
-            share(F.size(F.filter(words, lambda w: F.array_contains(stop, w))), n).alias("common_word_share"),
+            share(F.size(F.filter(words, lambda w: w.isin(STOP_WORDS))), n).alias("common_word_share"),
             share(F.size(F.filter(lines, lambda x: x.rlike(rf"{_END}\z"))), F.size(lines)).alias("ended_line_share"),
             _repeated_share(lines).alias("repeated_line_share"),
             *[_top_ngram_share(words, k).alias(f"top_{k}_gram_share") for k in (2, 3, 4)],
@@ -114,7 +133,7 @@ def text_statistics(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         _let(F.filter(F.split(text, r"\n\s*\n"), lambda p: F.trim(p) != ""), _repeated_share).alias("repeated_paragraph_share"),
         bound_words(text, lambda w: _let(lines_of(text), lambda x: all_statistics(w, x))).alias("_s"),
     )
-    return out.select(F.col("_id").alias(id_col), "words_count", "chars_count", "symbol_ratio", "repeated_paragraph_share", "_s.*").select("*", *[F.col("_share")[k].alias(f"{k}_share") for k in ("prose", "list", "table", "junk")]).drop("_share")
+    return out.select(F.col("_id").alias(id_col), "words_count", "chars_count", "symbol_ratio", "repeated_paragraph_share", "_s.*").select("*", *[F.col("_share")[k].alias(f"{k}_share") for k in KINDS]).drop("_share")
 
 
 def text_kinds(df: DataFrame, id_col: str = "doc_id", text_col: str = "uncleaned_text", words_col: str = "uncleaned_words_count", symbols_col: str = "symbol_ratio", tolerance: float = 0.01) -> DataFrame:

@@ -99,12 +99,11 @@ def statistics(text: Column, words: Column, lines: Column, run: int = 5) -> dict
     """The statistics rules may name, of a text, its words and its lines."""
     n = F.size(words)
     share = lambda a, b: F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
-    stop = F.array(*map(F.lit, STOP_WORDS))
     return {
         "n_words": n,
         "mean_word_chars": share(F.length(F.array_join(words, "")), n),
         "symbol_share": share(F.regexp_count(text, F.lit(r"[#…]|\.\.\.")), n),
-        "stop_word_share": share(F.size(F.filter(words, lambda w: F.array_contains(stop, w))), n),
+        "stop_word_share": share(F.size(F.filter(words, lambda w: w.isin(STOP_WORDS))), n),
         "n_lines": F.size(lines),
         "repeated_line_share": share(F.size(lines) - F.size(F.array_distinct(lines)), F.size(lines)),
         "bullet_line_share": share(F.size(F.filter(lines, lambda x: x.rlike(r"\A[•●▪◦‣*\-–]"))), F.size(lines)),
