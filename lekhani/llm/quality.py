@@ -13,7 +13,7 @@ from lekhani.functions import text as T
 from lekhani.llm.repetition import STOP_WORDS, _let, bound_words
 
 LETTER = r"[\p{L}\p{M}]"
-_END = r"[.!?।॥۔؟…][\"'”’»)\]]*"
+_END = r"[.!?।॥۔؟…。！？][\"'”’»)\]]*"
 
 JUNK_SYMBOLS = rf"[^\p{{L}}\p{{M}}\p{{Nd}}\s]"
 #: UTF-8 read as Latin-1 or Windows-1252: lead bytes with what follows them.
