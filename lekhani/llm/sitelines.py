@@ -6,8 +6,8 @@ ends are not part of it) decides where a chunk ends, so equal passages are cut
 alike wherever they stand. A line's ends are cuts too: the lines to find may be
 shorter than any chunk, and between changing neighbours no chunk of theirs
 would ever be seen twice. Distinct documents per (site, chunk) are counted. A
-line of one chunk is repeated with it; for one of several, its first chunk has
-to be, and then the row of its chunks is counted too.
+line of one repeated chunk is repeated; where all of several are, the row of
+them is counted too.
 """
 
 from __future__ import annotations
@@ -20,9 +20,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lekhani.session import cut_lineage
+
 WINDOW = 8
 #: A chunk ends on average after so many characters (a power of two).
-MEAN_CHUNK = 32
+MEAN_CHUNK = 64
 MIN_DOCS, MIN_SHARE = 5, 0.15
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -65,8 +67,8 @@ class LineHasher:
 
         self.power, self.back = table(_BASE), table(pow(_BASE, -1, 1 << 64))
 
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """text index, line number and key of every line with letters; chunk counts per line, chunks."""
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Text index and number of every line with letters; chunk counts per line, chunks."""
         joined = "\n".join(texts)
         code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         per_text = np.fromiter((t.count("\n") + 1 for t in texts), np.int64, len(texts))
@@ -77,7 +79,7 @@ class LineHasher:
         body = np.flatnonzero(~self.alphabet.mark[c])
         if not len(body):
             none = np.zeros(0, np.int64)
-            return none, none, none, none, none
+            return none, none, none, none
         at = line[body]
         opens = np.concatenate([[True], at[1:] != at[:-1]])
         first, last = body[opens], body[np.concatenate([opens[1:], [True]])] + 1
@@ -89,7 +91,6 @@ class LineHasher:
             x ^= x >> np.uint64(31)
             total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(x * self.power[: len(c)], dtype=np.uint64)])
             span = lambda a, b: self._finish((total[b] - total[a]) * self.back[a])
-            key = span(first, last)
             ends = np.arange(WINDOW, len(c) + 1)
             cut = ends[span(ends - WINDOW, ends) % np.uint64(MEAN_CHUNK) == 0]
             owner = np.searchsorted(first, cut - WINDOW, "right") - 1
@@ -104,7 +105,7 @@ class LineHasher:
         count = np.bincount(holder[pair], minlength=len(which))
         begin = np.concatenate([[0], np.cumsum(per_text)])
         text = np.searchsorted(begin, which, "right") - 1
-        return text, which - begin[text], key.view(np.int64), count, chunk.view(np.int64)
+        return text, which - begin[text], count, chunk.view(np.int64)
 
     @staticmethod
     def _finish(h: np.ndarray) -> np.ndarray:
@@ -122,11 +123,13 @@ def _hasher() -> LineHasher:
     return _HASHER[0]
 
 
-def hashed_lines(df: DataFrame, id_col: str = "doc_id", url_col: str = "url", text_col: str = "text") -> DataFrame:
-    """(site, doc, line_no, key, chunks) per line that has more than digits, spacing and marks."""
+def hashed_documents(df: DataFrame, id_col: str = "doc_id", url_col: str = "url", text_col: str = "text") -> DataFrame:
+    """(site, doc, lines) per row with lines that have more than digits, spacing
+    and marks; of each its number and its chunks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = _hasher()
+        offsets = lambda n: pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
         for batch in batches:
             texts = batch.column(2).to_pylist()
             a = 0
@@ -135,11 +138,13 @@ def hashed_lines(df: DataFrame, id_col: str = "doc_id", url_col: str = "url", te
                 while b < len(texts) and (b == a or size + len(texts[b]) < SLICE):
                     size += len(texts[b])
                     b += 1
-                text, no, key, count, chunk = hasher(texts[a:b])
-                rows = pa.array(text + a)
-                offsets = pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32))
-                lists = pa.ListArray.from_arrays(offsets, pa.array(chunk, pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(no.astype(np.int32)), pa.array(key, pa.int64()), lists], names=["site", "doc", "line_no", "key", "chunks"])
+                text, no, count, chunk = hasher(texts[a:b])
+                per_text = np.bincount(text, minlength=b - a)
+                full = np.flatnonzero(per_text)
+                chunks = pa.ListArray.from_arrays(offsets(count), pa.array(chunk, pa.int64()))
+                lines = pa.StructArray.from_arrays([pa.array(no.astype(np.int32)), chunks], names=["no", "chunks"])
+                rows = pa.array(full + a)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.ListArray.from_arrays(offsets(per_text[full]), lines)], names=["site", "doc", "lines"])
                 a = b
 
     kind = df.schema[id_col].dataType.simpleString()
@@ -147,7 +152,7 @@ def hashed_lines(df: DataFrame, id_col: str = "doc_id", url_col: str = "url", te
         df.select(F.xxhash64(site_of(F.col(url_col))).alias("site"), F.col(id_col).alias("doc"), F.col(text_col).alias("_text"), site_of(F.col(url_col)).alias("_host"))
         .where("_host is not null and doc is not null and _text is not null and _text != ''")
         .select("site", "doc", "_text")
-        .mapInArrow(run, f"site bigint, doc {kind}, line_no int, key bigint, chunks array<bigint>")
+        .mapInArrow(run, f"site bigint, doc {kind}, lines array<struct<no:int,chunks:array<bigint>>>")
     )
 
 
@@ -165,23 +170,33 @@ def repeated_site_lines(df: DataFrame, id_col: str = "doc_id", url_col: str = "u
     end are the same line. Rows without id, url or text have no lines; repeated
     rows of a document count once. Plan: documents are distinct per (site,
     chunk, document) before they are counted, so a hot site or line never
-    gathers in one task; texts are read twice, for the chunks and for the lines.
+    gathers in one task. A site's repeated chunks make one short array, since a
+    share of its documents has each of them; it meets the documents in a join on
+    the site that splits where a site is hot. Texts are read twice.
     """
-    lines = hashed_lines(df, id_col, url_col, text_col)
+    docs = hashed_documents(df, id_col, url_col, text_col)
     sizes = site_sizes(df, id_col, url_col)
 
     def repeated(rows: DataFrame, what: str) -> DataFrame:
-        counts = rows.select("site", what, "d").distinct().groupBy("site", what).agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
-        return counts.join(sizes, "site").where(F.col("docs") >= F.lit(min_share) * F.col("site_docs")).select("site", what)
-
-    chunks = repeated(lines.select("site", F.explode("chunks").alias("chunk"), F.xxhash64("doc").alias("d")), "chunk")
-    # the key of a line of one chunk is the chunk's
-    single = F.size("chunks") == 1
-    suspects = lines.select("site", F.col("chunks")[0].alias("chunk"), "doc", "line_no", F.when(~single, F.col("key")).alias("key")).join(chunks, ["site", "chunk"], "left_semi")
-    several = suspects.where("key is not null")
-    keys = repeated(several.select("site", "key", F.xxhash64("doc").alias("d")), "key")
-    found = suspects.where("key is null").select("doc", "line_no").union(several.join(keys, ["site", "key"], "left_semi").select("doc", "line_no"))
-    return found.distinct().withColumnRenamed("doc", id_col)
+        counts = rows.distinct().groupBy("site", what).agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
+        often = counts.join(sizes, "site").where(F.col("docs") >= F.lit(min_share) * F.col("site_docs"))
+        return often.groupBy("site").agg(F.collect_list(what).alias(f"{what}s"))
+
+    each = docs.select("site", F.xxhash64("doc").alias("d"), F.explode(F.array_distinct(F.flatten("lines.chunks"))).alias("chunk"))
+    chunks = repeated(each, "chunk")
+    known = F.filter("lines", lambda x: F.forall(x["chunks"], lambda c: F.array_contains("chunks", c)))
+    # of a line of several chunks the row of them is settled next
+    row = lambda x: F.when(F.size(x["chunks"]) > 1, F.xxhash64(x["chunks"]))
+    lines = F.transform(known, lambda x: F.struct(x["no"].alias("no"), row(x).alias("row")))
+    suspects = docs.join(chunks, "site").select("site", "doc", lines.alias("lines")).where(F.size("lines") > 0)
+    suspects = cut_lineage(suspects)
+    rows = suspects.select("site", F.xxhash64("doc").alias("d"), F.explode(F.array_compact(F.array_distinct("lines.row"))).alias("row"))
+    settled = suspects.join(repeated(rows, "row"), "site", "left")
+    kept = F.filter("lines", lambda x: x["row"].isNull() | F.coalesce(F.array_contains("rows", x["row"]), F.lit(False)))
+    found = settled.select("doc", F.transform(kept, lambda x: x["no"]).alias("nos")).where(F.size("nos") > 0)
+    # repeated rows of a document mostly bring the same lines
+    once = found.groupBy("doc").agg(F.array_distinct(F.flatten(F.collect_set("nos"))).alias("nos"))
+    return once.select(F.col("doc").alias(id_col), F.explode("nos").alias("line_no"))
 
 
 def strip_site_lines(df: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
