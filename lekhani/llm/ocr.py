@@ -30,16 +30,21 @@ from lekhani.session import cut_lineage
 
 #: Pages of a book handled together, and neighbours seen on either side.
 RUN, HALO = 64, 12
-#: Pages one group may hold; a fuller place range is split by hash.
-GROUP_PAGES = 2000
+#: Pages one group may hold; books with a fuller run of places are read place by place.
+GROUP_PAGES = 10_000
+#: Pages at either end of a crowded place that neighbours get to see; HALO are needed,
+#: and as they are drawn by hash, fewer than that come with a probability below 1e-7.
+EDGE_PAGES = 48
 HYPHENS = "-‐‑¬­"
 ENDS = ".!?।॥۔؟:"
 #: Least count of a word to be a correction, and how much rarer a misreading is.
 KNOWN_COUNT, RARER = 4, 6
 #: A misreading happens to at most this share of a word's occurrences.
 MISREAD_SHARE = 0.02
-#: Bounded training samples.
-TRAIN_WORDS, TRAIN_LINES = 3000, 1500
+#: Bounded training samples: words, pages for line pairs, pairs of words for the ranker.
+TRAIN_WORDS, TRAIN_LINES, TRAIN_PAIRS = 3000, 1500, 100_000
+#: Grams known to be frequent; they are offered last, which saves work and changes no result.
+FREQUENT_GRAMS = 2000
 
 # What scanners confuse, right -> wrong.
 CONFUSIONS = (("m", "rn"), ("n", "ri"), ("d", "cl"), ("w", "vv"), ("u", "ii"), ("h", "b"), ("h", "li"), ("e", "c"), ("c", "e"), ("i", "l"), ("l", "1"), ("i", "1"), ("l", "i"), ("o", "0"), ("s", "5"), ("g", "9"), ("t", "f"), ("b", "h"), ("a", "o"), ("i", "."), ("r", "'"), ("u", "'"), ("e", "."), ("a", "1"), ("e", ""), ("i", ""), ("a", ""), ("li", "h"), ("म", "भ"), ("भ", "म"), ("व", "ब"), ("ब", "व"), ("ध", "घ"), ("घ", "ध"), ("प", "ष"), ("थ", "य"), ("ख", "रव"), ("ी", "ि"), ("ব", "র"), ("র", "ব"), ("ম", "ষ"), ("ত", "ভ"), ("ন", "ণ"), ("ী", "ি"), ("য", "ষ"), ("ன", "ள"), ("ந", "ங"), ("ய", "ப"), ("ி", "ீ"), ("ீ", "ி"), ("ர", "ா"))
@@ -72,10 +77,40 @@ def page_number(text: str) -> list[int]:
     return out
 
 
+class _Letters(dict):
+    """Code point -> itself if a letter or vowel sign, else a blank; for str.translate."""
+
+    def __missing__(self, c: int) -> int:
+        kept = self[c] = c if unicodedata.category(chr(c))[0] in "LM" else 32
+        return kept
+
+
+class _Cores(dict):
+    """Lower-case word -> the word without adjoining marks, "" if it has no two letters."""
+
+    LIMIT = 500_000
+
+    def __missing__(self, w: str) -> str:
+        a, b = 0, len(w)
+        while a < b and unicodedata.category(w[a])[0] not in "LMN":
+            a += 1
+        while b > a and unicodedata.category(w[b - 1])[0] not in "LMN":
+            b -= 1
+        core = w[a:b]
+        core = core if sum(unicodedata.category(c)[0] == "L" for c in core) >= 2 else ""
+        if len(w) <= 40:
+            if len(self) >= self.LIMIT:
+                self.clear()
+            self[w] = core
+        return core
+
+
+_LETTERS, _CORES = _Letters(), _Cores()
+
+
 def skeleton(text: str) -> str:
     """Letters of a line in lower case, single blanks between words."""
-    kept = "".join(c if unicodedata.category(c)[0] in "LM" else " " for c in text.lower())
-    return " ".join(kept.split())
+    return " ".join(text.lower().translate(_LETTERS).split())
 
 
 def split_number(line: str) -> tuple[list[int], str]:
@@ -194,17 +229,7 @@ class Trees:
 
 def tokens(line: str) -> list[str]:
     """Lower-case words without adjoining marks; what has no two letters is left out."""
-    out = []
-    for w in line.lower().split():
-        a, b = 0, len(w)
-        while a < b and unicodedata.category(w[a])[0] not in "LMN":
-            a += 1
-        while b > a and unicodedata.category(w[b - 1])[0] not in "LMN":
-            b -= 1
-        w = w[a:b]
-        if sum(unicodedata.category(c)[0] == "L" for c in w) >= 2:
-            out.append(w)
-    return out
+    return [w for w in map(_CORES.__getitem__, line.lower().split()) if w]
 
 
 @dataclass
@@ -339,38 +364,31 @@ def ordered_lines(df: DataFrame, doc_col: str = "doc_id", book_col: str = "ident
     """Lines of all pages: doc, line_no, kind (text or furniture), words, and for
     a line that ends in a hyphen left, right (the halves) and sign.
 
-    Pages are grouped by book and run of places (the last element of the url),
-    each run with copies of its neighbours, so a group is bounded whatever the
-    book; repeated rows are read once. Pages without book or place are read on
-    their own. A word may continue up to HALO places on.
+    Pages are in the order of their book, place (the last element of the url)
+    and a hash of their id. They are grouped by book and run of places, each run
+    with copies of its neighbours; see ``page_groups``. Repeated rows are read
+    once. Pages without book or place are read on their own. A word may continue
+    up to HALO places on.
     """
     place = F.try_to_number(F.regexp_extract(F.col(url_col), r"/([0-9]{1,9})/*$", 1), F.lit("999999999")).cast("long")
     base = df.select(F.col(doc_col).cast("string").alias("_doc"), F.col(book_col).cast("string").alias("_book"), place.alias("_place"), F.col(text_col).alias("_text"), F.regexp_replace(F.col(name_col), r"\.[a-z]+$", "").alias("_name"))
     base = base.where("_doc is not null and _text is not null and trim(_text) != ''").withColumn("_h", F.xxhash64("_text")).dropDuplicates(["_doc", "_h"])
     weights = train_line_pairs(base)
-    lone = F.col("_book").isNull() | F.col("_place").isNull()
-    run = F.when(~lone, F.floor(F.col("_place") / RUN))
-    keyed = base.withColumn("_run", run).withColumn("_book", F.when(lone, F.concat(F.lit("\u0000"), "_doc")).otherwise(F.col("_book")))
-    full = keyed.groupBy(F.col("_book").alias("_b"), F.col("_run").alias("_q")).agg(F.count("*").alias("_n")).where(F.col("_n") > GROUP_PAGES).withColumn("_parts", F.ceil(F.col("_n") / GROUP_PAGES)).drop("_n")
-    keyed = keyed.join(full, (F.col("_book") == F.col("_b")) & F.col("_run").eqNullSafe(F.col("_q")), "left").drop("_b", "_q")
-    keyed = keyed.withColumn("_part", F.coalesce(F.pmod(F.xxhash64("_doc"), F.col("_parts")), F.lit(0)))
-    offset = F.col("_place") - F.col("_run") * RUN
-    runs = F.array_compact(F.array(F.struct(F.col("_run").alias("run"), F.lit(True).alias("own")), F.when((offset < HALO) & (F.col("_part") == 0), F.struct((F.col("_run") - 1).alias("run"), F.lit(False).alias("own"))), F.when((offset >= RUN - HALO) & (F.col("_part") == 0), F.struct((F.col("_run") + 1).alias("run"), F.lit(False).alias("own")))))
-    keyed = keyed.withColumn("_r", F.explode(runs)).select("_book", F.col("_r.run").alias("_run"), "_part", "_place", "_doc", F.col("_r.own").alias("_own"), "_name", "_text")
-    keyed = keyed.repartition("_book", "_run", "_part").sortWithinPartitions("_book", "_run", "_part", "_place", "_doc")
+    keyed = page_groups(base)
+    keyed = keyed.repartition("_book", "_group").sortWithinPartitions("_book", "_group", "_place", "_at", "_doc")
 
     def run_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, pages = None, []
         rows: list[tuple] = []
         for batch in batches:
-            for book, r, part, at, doc, own, name, text in zip(*(c.to_pylist() for c in batch.columns)):
-                if (book, r, part) != group:
+            for book, g, place, _, doc, own, name, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if (book, g) != group:
                     rows += read_book(pages, weights)
-                    group, pages = (book, r, part), []
+                    group, pages = (book, g), []
                     if len(rows) > 20_000:
                         yield _line_batch(rows)
                         rows = []
-                pages.append(Page(doc, at or 0, text.split("\n"), own, skeleton((name or "").replace("_", " "))))
+                pages.append(Page(doc, place or 0, text.split("\n"), own, skeleton((name or "").replace("_", " "))))
         rows += read_book(pages, weights)
         if rows:
             yield _line_batch(rows)
@@ -378,6 +396,54 @@ def ordered_lines(df: DataFrame, doc_col: str = "doc_id", book_col: str = "ident
     return keyed.mapInArrow(run_, "doc string, line_no int, kind string, words array<string>, left string, right string, sign string, to_doc string, to_line int")
 
 
+def page_groups(base: DataFrame, most: int | None = None) -> DataFrame:
+    """(_book, _group, _place, _at, _doc, _own, _name, _text): every page in its own
+    group (_own), and copies in the groups that need it as a neighbour.
+
+    A group is a run of RUN places with HALO places on either side. A book with
+    more than ``most`` pages in one run (a wrong or default identifier that many
+    pages share) is grouped by place and, within a place, by equal ranges of the
+    hash that orders its pages; the pages next to a range's ends are copied to
+    the ranges and places beside it. So groups are bounded and every page sees
+    the HALO pages before and after it, whatever the book's size.
+    """
+    most = GROUP_PAGES if most is None else most
+    lone = F.col("_book").isNull() | F.col("_place").isNull()
+    base = base.withColumn("_at", (F.pmod(F.xxhash64("_doc"), F.lit(1 << 30)) / (1 << 30)))
+    single = base.where(lone).select(F.concat(F.lit("\u0000"), "_doc").alias("_book"), F.lit("").alias("_group"), "_place", "_at", "_doc", F.lit(True).alias("_own"), "_name", "_text")
+    placed = base.where(~lone)
+    run = F.floor(F.col("_place") / RUN)
+    sizes = placed.groupBy("_book", "_place").agg(F.count("*").alias("_n"))
+    crowded = sizes.groupBy("_book", run.alias("_run")).agg(F.sum("_n").alias("_n")).where(F.col("_n") > most).select("_book").distinct()
+
+    def copies(df: DataFrame, targets: Column) -> DataFrame:
+        return df.withColumn("_t", F.explode(targets)).select("_book", F.col("_t.group").alias("_group"), "_place", "_at", "_doc", F.col("_t.own").alias("_own"), "_name", "_text")
+
+    to = lambda group, own: F.struct(group.cast("string").alias("group"), F.lit(own).alias("own"))
+    offset = F.col("_place") - run * RUN
+    runs = F.array_compact(F.array(to(run, True), F.when(offset < HALO, to(run - 1, False)), F.when(offset >= RUN - HALO, to(run + 1, False))))
+    if crowded.isEmpty():
+        return copies(placed, runs).union(single)
+    calm = placed.join(crowded, "_book", "left_anti")
+    # ranges of the hash within a place, about half of the most pages each
+    ranges = sizes.join(crowded, "_book", "left_semi").withColumn("_ranges", F.ceil(F.col("_n") * 2 / F.lit(most)))
+    pages = placed.join(ranges, ["_book", "_place"])
+    mine = F.least(F.floor(F.col("_at") * F.col("_ranges")), F.col("_ranges") - 1)
+    name = lambda place, part: F.concat_ws(":", place, part)
+    span = F.lit(float(EDGE_PAGES)) / F.col("_n")  # of the hash, that holds about EDGE_PAGES pages
+    inside = F.array_compact(F.array(to(name(F.col("_place"), mine), True), F.when((mine > 0) & (F.col("_at") < mine / F.col("_ranges") + span), to(name(F.col("_place"), mine - 1), False)), F.when((mine < F.col("_ranges") - 1) & (F.col("_at") > (mine + 1) / F.col("_ranges") - span), to(name(F.col("_place"), mine + 1), False))))
+    # the first and last pages of a place, to the last range of the places before and the first of those after
+    back = F.when(F.col("_at") < span, F.transform(F.sequence(F.lit(1), F.lit(HALO)), lambda k: F.struct((F.col("_place") - k).alias("place"), F.lit(True).alias("before"))))
+    on = F.when(F.col("_at") > 1 - span, F.transform(F.sequence(F.lit(1), F.lit(HALO)), lambda k: F.struct((F.col("_place") + k).alias("place"), F.lit(False).alias("before"))))
+    none = F.array().cast("array<struct<place:bigint,before:boolean>>")
+    beside = pages.withColumn("_t", F.explode(F.concat(F.coalesce(back, none), F.coalesce(on, none))))
+    there = ranges.select(F.col("_book").alias("_b"), F.col("_place").alias("_p"), F.col("_ranges").alias("_r"))
+    beside = beside.join(there, (F.col("_book") == F.col("_b")) & (F.col("_t.place") == F.col("_p")))
+    group = name(F.col("_p"), F.when(F.col("_t.before"), F.col("_r") - 1).otherwise(F.lit(0)))
+    beside = beside.select("_book", group.alias("_group"), "_place", "_at", "_doc", F.lit(False).alias("_own"), "_name", "_text")
+    return copies(calm, runs).union(copies(pages, inside)).union(beside).union(single)
+
+
 def _line_batch(rows: list[tuple]) -> pa.RecordBatch:
     doc, no, kind, words, left, right, sign, to_doc, to_line = zip(*rows)
     return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(no, pa.int32()), pa.array(kind), pa.array(words, pa.list_(pa.string())), pa.array(left, pa.string()), pa.array(right, pa.string()), pa.array(sign, pa.string()), pa.array(to_doc, pa.string()), pa.array(to_line, pa.int32())], names=["doc", "line_no", "kind", "words", "left", "right", "sign", "to_doc", "to_line"])
@@ -469,31 +535,55 @@ def joined_words(lines: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return cuts.where(score > 0).select("doc", "line_no", F.col("whole").alias("word"), "to_doc", "to_line")
 
 
-def _padded_grams(word: Column) -> Column:
-    padded = F.concat(F.lit("^"), word, F.lit("$"))
-    return F.transform(F.sequence(F.lit(1), F.length(padded) - 1), lambda i: F.substring(padded, i, F.lit(2)))
+def grams_of(word: str, q: int) -> set[str]:
+    padded = f"^{word}$"
+    return {padded[i : i + q] for i in range(len(padded) - q + 1)}
+
+
+def frequent_grams(known: DataFrame) -> dict[str, int]:
+    """The most frequent 2- and 3-grams of the known words, at most FREQUENT_GRAMS."""
+    padded = F.concat(F.lit("^"), F.col("right"), F.lit("$"))
+    grams = lambda q: F.transform(F.sequence(F.lit(1), F.greatest(F.length(padded) - (q - 1), F.lit(1))), lambda i: F.substring(padded, i, F.lit(q)))
+    counts = known.select(F.explode(F.array_union(grams(2), grams(3))).alias("gram")).groupBy("gram").agg(F.count("*").alias("f"))
+    return {r.gram: r.f for r in counts.orderBy(F.desc("f"), "gram").limit(FREQUENT_GRAMS).collect()}
 
 
 def correction_candidates(suspects: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(word, n, right, n_right): known words within two edits (one for words up
     to four letters) and at least RARER times as frequent.
 
-    Inverted join on 2-grams with the prefix filter: strings within k edits share
-    all but 2k of their grams, so both sides only offer their 2k + 1 rarest. Gram
-    frequencies are counted over the known words.
+    Inverted join on q-grams with the prefix filter: strings within k edits share
+    all but q * k of the longer one's grams, so it is enough that either side
+    offers q * k + 1 of them, the same way ordered. Words of up to seven letters
+    are looked up by 2-grams, longer ones by 3-grams, which far fewer words
+    share; known words offer what words two letters shorter or longer may ask.
     """
     known = vocabulary.where(F.col("n") >= KNOWN_COUNT).select(F.col("word").alias("right"), F.col("n").alias("n_right"))
-    frequency = known.select(F.explode(F.array_distinct(_padded_grams(F.col("right")))).alias("gram")).groupBy("gram").agg(F.count("*").alias("f"))
-
-    def offers(df: DataFrame, word: str) -> DataFrame:
-        grams = df.select("*", F.explode(F.array_distinct(_padded_grams(F.col(word)))).alias("gram")).join(frequency, "gram", "left")
-        rank = F.row_number().over(W.partitionBy(word).orderBy(F.coalesce("f", F.lit(0)), "gram"))  # a word's few grams
-        return grams.withColumn("k", rank).where("k <= 5").drop("k", "f")
+    frequent = vocabulary.sparkSession.sparkContext.broadcast(frequent_grams(known))
+
+    def offers(df: DataFrame, asked: bool) -> DataFrame:
+        word, n = df.columns
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            common = frequent.value
+            for batch in batches:
+                rows, out = [], []
+                for i, w in enumerate(batch.column(0).to_pylist()):
+                    for q in (2, 3):
+                        if (len(w) <= (7 if asked else 9)) if q == 2 else (len(w) > (7 if asked else 5)):
+                            best = sorted(grams_of(w, q), key=lambda g: (common.get(g, 0), g))[: 2 * q + 1]
+                            out += best
+                            rows += [i] * len(best)
+                at = pa.array(rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(out, pa.string())], names=[word, n, "gram"])
+
+        return df.mapInArrow(run, f"{word} string, {n} long, gram string")
 
     near = (F.abs(F.length("word") - F.length("right")) <= 2) & (F.col("n_right") >= RARER * F.col("n")) & (F.col("n") <= F.col("n_right") * MISREAD_SHARE + 3) & (F.col("word") != F.col("right"))
     edits = F.when(F.length("word") <= 4, 1).otherwise(2)
-    pairs = offers(suspects, "word").join(offers(known, "right"), "gram").where(near).drop("gram").distinct()
-    return pairs.where(F.levenshtein("word", "right") <= edits)
+    close = F.when(F.levenshtein("word", "right", 2) >= 0, F.levenshtein("word", "right", 2) <= edits).otherwise(False)
+    pairs = offers(suspects.select("word", "n"), True).join(offers(known, False), "gram").where(near).where(close)
+    return pairs.drop("gram").distinct()
 
 
 def candidate_features(word: pd.Series, n: pd.Series, right: pd.Series, n_right: pd.Series) -> np.ndarray:
@@ -535,7 +625,11 @@ def train_ranker(vocabulary: DataFrame, seed: int = 11) -> Trees | None:
     # seldom seen real words look as rare as misreadings do
     rows |= {r.word: (r.word, max(1, r.n // rng.choice((1, 1, 4, 20))), None) for r in real if r.n >= 4 * KNOWN_COUNT or r.word not in rows}
     made = spark.createDataFrame(list(rows.values()), "word string, n long, truth string")
-    pairs = correction_candidates(made.select("word", "n"), vocabulary).join(made.select("word", "truth"), "word").toPandas()
+    pairs = cut_lineage(correction_candidates(made.select("word", "n"), vocabulary).join(F.broadcast(made.select("word", "truth")), "word"))
+    # how many candidates the made words have grows with the vocabulary: a sample of them by hash
+    share = TRAIN_PAIRS / max(pairs.count(), 1)
+    key = F.pmod(F.xxhash64("word", "right"), F.lit(1 << 30))
+    pairs = pairs.where(key < int(min(1.0, share) * (1 << 30))).orderBy("word", "right").toPandas()
     if not len(pairs):
         return None
     y = (pairs["right"] == pairs["truth"]).to_numpy().astype(float)
