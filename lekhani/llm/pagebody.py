@@ -35,7 +35,7 @@ CLOSES = {"p": {"p"}, "li": {"li", "p"}, "td": {"td", "th", "p"}, "th": {"td", "
 #: ... but not across these.
 SCOPES = {"li": {"ul", "ol"}, "td": {"table"}, "th": {"table"}, "tr": {"table"}, "dt": {"dl"}, "dd": {"dl"}}
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:\-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:\-]*)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
 _SPACE = re.compile(r"\s+")
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _DATE = re.compile(r"\b\d{1,4}[/.\-]\d{1,2}[/.\-]\d{1,4}\b|\b\d{1,2}(?:st|nd|rd|th)? [A-Z][a-z]+,? \d{4}\b|\b[A-Z][a-z]+ \d{1,2}, \d{4}\b|\b\d{1,2}:\d{2}\b")
@@ -75,12 +75,15 @@ def read_page(source: str) -> Page:
     parts: list[str] = []
     linked: list[str] = []
     unseen = links = bold = 0
+    # of the block so far: any text yet, all of it emphasised, a blank between emphasised runs
+    said, only_lead, gap = False, False, False
     lead: list[str] = []
     title: list[str] = []
     in_title = False
 
     def flush() -> None:
-        nonlocal lead
+        nonlocal lead, said, only_lead, gap
+        said = only_lead = gap = False
         if parts:
             text = _SPACE.sub(" ", htmllib.unescape("".join(parts))).strip()
             if text:
@@ -108,10 +111,15 @@ def read_page(source: str) -> Page:
             elif not unseen:
                 if links:
                     linked.append(run)
-                if (bold or links) and not "".join(parts).strip():
-                    lead.append(run)
-                elif (bold or links) and lead and "".join(parts).strip() == "".join(lead).strip():
+                solid = not run.isspace()
+                if (bold or links) and (not said or only_lead):
                     lead.append(run)
+                    only_lead = not gap
+                elif solid:
+                    only_lead = False
+                elif said:
+                    gap = True
+                said = said or solid
                 parts.append(run)
         if not m:
             break
@@ -229,19 +237,28 @@ def second_pass(page: Page, begin: int, end: int, root: int) -> None:
         if b.tag in ("li", "td", "th") and b.label == "bad" and b.linked > len(b.text) / 2 and plain[page.parent[b.node]]:
             b.label = "open"
     decided = [k for k in decided if page.blocks[k].label != "open"]
-    near = {}
+    # decided blocks by container, and the nearest decided ones on either side, each found in one pass
+    groups: dict[int, set[bool]] = {}
+    for j in decided:
+        groups.setdefault(page.parent[page.blocks[j].node], set()).add(page.blocks[j].label == "bad")
+    near, last = {}, None
     for k in range(begin, end):
-        b = page.blocks[k]
-        if b.label != "open":
-            continue
-        left = next((j for j in range(k - 1, begin - 1, -1) if page.blocks[j].label != "open"), None)
-        right = next((j for j in range(k + 1, end) if page.blocks[j].label != "open"), None)
-        near[k] = (left, right)
+        if page.blocks[k].label == "open":
+            near[k] = [last, None]
+        else:
+            last = k
+    last = None
+    for k in range(end - 1, begin - 1, -1):
+        if k in near:
+            near[k][1] = last
+        else:
+            last = k
     for k, (left, right) in near.items():
         b = page.blocks[k]
-        group = [page.blocks[j].label for j in decided if page.parent[page.blocks[j].node] == page.parent[b.node] and b.tag not in HEADINGS and page.parent[b.node] != root]
+        around = page.parent[b.node]
+        group = groups.get(around) if b.tag not in HEADINGS and around != root else None
         if group:
-            b.label = "bad" if all(x == "bad" for x in group) else "good"
+            b.label = "good" if False in group else "bad"
         elif b.tag in HEADINGS or b.tag in ("p", "li", "td", "th", "blockquote", "dd", "dt", "figcaption", "pre"):
             sides = [page.blocks[j].label for j in (left, right) if j is not None]
             # the item of a list or table stays with the text around it; a bad neighbour decides only alone

@@ -26,8 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CATEGORIES = ("abusive", "hateful", "sexual")
-#: Labelled documents the model is fitted on, at most; chosen by hash.
-TRAIN_DOCS = 5000
+#: Documents the model is fitted on, at most: so many rated ones and so many others,
+#: chosen by hash, none of more than TRAIN_CHARS characters.
+TRAIN_DOCS, TRAIN_CHARS = 5000, 50_000
 #: Terms a list may have; it is a configuration.
 MAX_TERMS = 20_000
 THRESHOLD = 0.5
@@ -36,7 +37,8 @@ OTHER_RATED = 0.5
 #: Weight of an unrated document without a term as an example against all categories.
 UNRATED = 0.15
 BIAS, TERM_WEIGHT, OTHER_WEIGHT, REPORT_WEIGHT = -4.0, 5.5, -2.0, -2.5
-#: Occurrences in labelled documents from which a word or pair is a feature.
+#: Occurrences in labelled documents from which a word or pair is a feature, and
+#: how many features the model has at most; those that lean most come first.
 MIN_DOCS = 2
 FEATURES = 40_000
 
@@ -341,7 +343,8 @@ def fit(bags: list[dict[tuple[str, ...], int]], labels: np.ndarray, terms: list[
 
 
 def train(docs: DataFrame, ratings: DataFrame, term_table: DataFrame, most: int = TRAIN_DOCS) -> Model:
-    """Fits on at most ``most`` rated documents and as many unrated ones.
+    """Fits on at most ``most`` rated documents and as many unrated ones, none
+    longer than TRAIN_CHARS.
 
     Ratings count in any letter case; null and unknown ones are ignored. A
     document is positive for a category if at least as many ratings name it as
@@ -354,13 +357,14 @@ def train(docs: DataFrame, ratings: DataFrame, term_table: DataFrame, most: int
     counts = [F.count_if(F.col("c") == x).alias(x) for x in ("none", *CATEGORIES)]
     rated = ratings.select("doc_id", F.lower(F.trim("category")).alias("c")).where(F.col("c").isin("none", *CATEGORIES)).groupBy("doc_id").agg(*counts)
     rated = rated.orderBy(F.xxhash64("doc_id")).limit(most)
-    chosen = docs.select("doc_id", "text").join(rated, "doc_id").where("text is not null").dropDuplicates(["doc_id"]).collect()
+    fit_for = F.col("text").isNotNull() & (F.length("text") <= TRAIN_CHARS)
+    chosen = docs.where(fit_for).select("doc_id", "text").join(rated, "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
     matcher = Terms(terms)
     bags = [sentences_of(matcher.mark(r.text)) for r in chosen]
     # a hash range of about the wanted size; the hash makes it the same on every run
     key = F.pmod(F.xxhash64(F.lit("unrated"), "doc_id"), F.lit(1 << 20))
     share = min(1.0, 1.5 * most / max(1, docs.count()))
-    others = docs.where((key < int(share * (1 << 20))) & F.col("text").isNotNull()).join(rated.select("doc_id"), "doc_id", "left_anti").select("text").limit(most).collect()
+    others = docs.where((key < int(share * (1 << 20))) & fit_for).join(rated.select("doc_id"), "doc_id", "left_anti").orderBy(key, "doc_id").limit(most).select("text").collect()
     marked = [matcher.mark(r.text) for r in others]
     bags += [sentences_of(m) for m in marked if "zzterm" not in m and "zzquoted" not in m]
     labels = np.full((len(bags), len(CATEGORIES)), np.nan)
