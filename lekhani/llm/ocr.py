@@ -132,14 +132,26 @@ def split_number(line: str) -> tuple[list[int], str]:
     return [], line
 
 
-def _grams(s: str) -> set[str]:
-    s = f" {s} "
-    return {s[i : i + 2] for i in range(len(s) - 1)}
+class _Pairs(dict):
+    """Skeleton -> its 2-grams."""
+
+    LIMIT = 20_000
+
+    def __missing__(self, s: str) -> frozenset[str]:
+        padded = f" {s} "
+        grams = frozenset(map("".join, zip(padded, padded[1:])))
+        if len(self) >= self.LIMIT:
+            self.clear()
+        self[s] = grams
+        return grams
+
+
+_PAIRS = _Pairs()
 
 
 def pair_features(a: str, b: str) -> list[float]:
     """Likeness of two line skeletons."""
-    x, y = _grams(a), _grams(b)
+    x, y = _PAIRS[a], _PAIRS[b]
     common = len(x & y)
     longer = max(len(a), len(b), 1)
     p = 0
@@ -663,16 +675,22 @@ def read_pages(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return lines, cut_lineage(words.groupBy("word").agg(F.count("*").alias("n")))
 
 
+def small(df: DataFrame, most: int = 200_000) -> DataFrame:
+    """The same rows, to be broadcast if there are at most ``most`` (some 20 MB of
+    words); a join with more shuffles both sides."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def noise_items(df: DataFrame) -> DataFrame:
     """(doc_id, line_no, kind, word): furniture lines (word empty), cut words and
     misread words, each once. Null and blank pages have none."""
     lines, vocabulary = read_pages(df)
-    right = corrections(vocabulary)
+    right = cut_lineage(corrections(vocabulary))
     furniture = lines.where("kind = 'furniture'").select("doc", "line_no", "kind", F.lit("").alias("word"))
     cut = joined_words(lines, vocabulary)
     cut = cut.join(right, "word", "left").select("doc", "line_no", F.lit("hyphen").alias("kind"), F.coalesce("right", "word").alias("word"))
     spoken = lines.where("kind = 'text'").select("doc", "line_no", F.explode("words").alias("word"))
-    misread = spoken.join(right, "word").select("doc", "line_no", F.lit("misread").alias("kind"), F.col("right").alias("word"))
+    misread = spoken.join(small(right), "word").select("doc", "line_no", F.lit("misread").alias("kind"), F.col("right").alias("word"))
     return furniture.union(cut).union(misread).distinct().withColumnRenamed("doc", "doc_id")
 
 
@@ -682,14 +700,14 @@ def repaired_pages(df: DataFrame) -> DataFrame:
     (blank lines divide them). A page whose text is all furniture has an empty
     text; null and blank pages have no row."""
     lines, vocabulary = read_pages(df)
-    right = corrections(vocabulary)
+    right = cut_lineage(corrections(vocabulary))
     cut = joined_words(lines, vocabulary).join(right, "word", "left").withColumn("word", F.coalesce("right", "word"))
     spoken = lines.where("kind = 'text'").select("doc", "line_no", F.explode("words").alias("word")).distinct()
     nothing = F.lit(None).cast("string")
     actions = lines.where("kind = 'furniture'").select("doc", "line_no", F.lit("drop").alias("do"), nothing.alias("a"), nothing.alias("b"))
     actions = actions.union(cut.select("doc", "line_no", F.lit("last"), "word", nothing))
     actions = actions.union(cut.select("to_doc", "to_line", F.lit("first"), nothing, nothing))
-    actions = actions.union(spoken.join(right, "word").select("doc", "line_no", F.lit("word"), "word", "right"))
+    actions = actions.union(spoken.join(small(right), "word").select("doc", "line_no", F.lit("word"), "word", "right"))
     per_page = actions.groupBy("doc").agg(F.collect_list(F.struct("line_no", "do", "a", "b")).alias("todo"))  # a page's few lines
     pages = df.select(F.col("doc_id").cast("string").alias("doc"), "text").where("doc is not null and text is not null and trim(text) != ''").withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc", "_h"]).drop("_h")
 
