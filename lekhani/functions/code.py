@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lekhani.functions.keywords import spans
+
 # Patterns of tag pairs, script functions and style rules. In the
 # first a dot excludes line feeds only; the other two span lines.
 TAG_PAIR = r"(?d)<[^>]+?>.+?</[^>]+?>"
@@ -13,17 +15,8 @@ STYLE_RULE = r"(?s)\..*?\{.*?\}"
 
 
 def _spans_of(text: Column, pattern: str) -> Column:
-    """[start, end) of every match. A match's first place after the one before
-    it is its own place, as the patterns look neither ahead nor behind."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<array<int>>").alias("spans"))
-
-    def step(a: Column, m: Column) -> Column:
-        begin = (F.call_function("locate", m, text, a["at"] + 1) - 1).cast("int")
-        end = (begin + F.length(m)).cast("int")
-        return F.struct(end.alias("at"), F.concat(a["spans"], F.array(F.array(begin, end))).alias("spans"))
-
-    return F.aggregate(found, start, step, lambda a: a["spans"])
+    """[start, end) of every match."""
+    return F.transform(spans(text, pattern), lambda x: F.array(x["start"], x["end"]))
 
 
 def code_spans(text: Column) -> Column:

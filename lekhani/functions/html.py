@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 TAG = r"<[A-Za-z!/][^>]*>"
 # Result columns of extraction after the key columns.
-FIELDS = "title description text comments author hostname sitename date categories tags fingerprint id license body commentsbody raw_text image pagetype".split()
+FIELDS = ["title", "description", "text", "comments", "author", "hostname", "sitename", "date", "categories", "tags", "fingerprint", "id", "license", "body", "commentsbody", "raw_text", "image", "pagetype"]
 SKIPPED = frozenset("script style noscript template nav aside footer header form button svg iframe select".split())
 BLOCKS = frozenset("p div section article main h1 h2 h3 h4 h5 h6 li ul ol table tr td th blockquote pre br hr dt dd dl figure figcaption body".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lekhani.functions.ngrams import _let
+
 #: Characters that belong to a word for the border test.
 WORD = "0-9A-Za-z_"
 
@@ -28,26 +30,38 @@ def hits(text: Column, terms: list[str]) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(p), F.lit(0)), F.lower)
 
 
-def hit_positions(text: Column, terms: list[str]) -> Column:
-    """Array of struct(term, start, end) in code points."""
-    found = F.regexp_extract_all(text, F.lit(pattern(terms) or r"(?!)"), F.lit(0))
-    kind = "array<struct<term:string,start:int,end:int>>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+def spans(text: Column, regex: str) -> Column:
+    """Array of struct(hit, start, end) in code points, of every match in order.
+
+    The text is matched twice, for the hits and for what stands between them;
+    places are running sums of their lengths.
+    """
+    found, gaps = F.regexp_extract_all(text, F.lit(regex), F.lit(0)), F.split(text, regex, -1)
+    kind = "array<struct<hit:string,start:int,end:int>>"
+
+    def placed(hits: Column) -> Column:
+        pairs = F.zip_with(hits, F.slice(gaps, 1, F.size(hits)), lambda h, g: F.struct(h.alias("hit"), F.length(h).alias("n"), F.length(g).alias("gap")))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
 
-    def step(a: Column, m: Column) -> Column:
-        # what stands before the next hit, in code points
-        ahead = F.regexp_extract(F.substring(text, a["at"] + 1, F.length(text)), r"(?s)\A(.*?)" + (pattern(terms) or "(?!)"), 1)
-        begin = a["at"] + F.length(ahead)
-        end = begin + F.length(m)
-        return F.struct(end.cast("int").alias("at"), F.concat(a["out"], F.array(F.struct(F.lower(m).alias("term"), begin.cast("int").alias("start"), end.cast("int").alias("end")))).cast(kind).alias("out"))
+        def step(a: Column, p: Column) -> Column:
+            begin = (a["at"] + p["gap"]).cast("int")
+            end = (begin + p["n"]).cast("int")
+            return F.struct(end.alias("at"), F.concat(a["out"], F.array(F.struct(p["hit"].alias("hit"), begin.alias("start"), end.alias("end")))).cast(kind).alias("out"))
 
-    return F.aggregate(found, start, step, lambda a: a["out"])
+        return F.when(F.size(hits) == 0, F.array().cast(kind)).otherwise(F.aggregate(pairs, start, step, lambda a: a["out"]))
+
+    return _let(found, placed)
+
+
+def hit_positions(text: Column, terms: list[str]) -> Column:
+    """Array of struct(term, start, end) in code points."""
+    return F.transform(spans(text, pattern(terms) or r"(?!)"), lambda x: F.struct(F.lower(x["hit"]).alias("term"), x["start"].alias("start"), x["end"].alias("end")))
 
 
 def distribution(text: Column, terms: list[str]) -> Column:
     """map(term -> count)."""
-    found = hits(text, terms)
-    return F.map_from_entries(F.transform(F.array_distinct(found), lambda k: F.struct(k, F.size(F.filter(found, lambda x: x == k)))))
+    count = lambda found: F.map_from_entries(F.transform(F.array_distinct(found), lambda k: F.struct(k, F.size(F.filter(found, lambda x: x == k)))))
+    return _let(hits(text, terms), count)
 
 
 def total(counts: Column) -> Column:

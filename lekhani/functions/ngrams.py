@@ -6,6 +6,8 @@ the counts. Nothing is exploded or shuffled.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,22 +27,54 @@ def _counts(grams: Column) -> Column:
 
 
 def _hashes(parts: Column, n: int) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.size(parts) - (n - 1)), lambda i: F.xxhash64(F.slice(parts, i, n)))
+    """Hashes of the n-grams; every element is hashed once."""
+    grams = lambda h: F.transform(F.sequence(F.lit(0), F.size(h) - n), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(n)]))
+    return _let(F.transform(parts, lambda w: F.xxhash64(w)), grams)
+
+
+def _char_scores(texts: pd.Series, n: int) -> pd.Series:
+    """Scores of a batch: rolling hashes over the code points of all its texts."""
+    some = [t if isinstance(t, str) else "" for t in texts]
+    out = np.full(len(some), np.nan)
+    a = 0
+    while a < len(some):
+        b, size = a, 0
+        while b < len(some) and (b == a or size + len(some[b]) < 1 << 20):
+            size += len(some[b])
+            b += 1
+        code = np.frombuffer("".join(some[a:b]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        length = np.fromiter(map(len, some[a:b]), np.int64, b - a)
+        if len(code) >= n:
+            with np.errstate(over="ignore"):
+                mixed = (code + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+                mixed ^= mixed >> np.uint64(29)
+                h = np.zeros(len(code) - n + 1, np.uint64)
+                for k in range(n):
+                    h = (h + mixed[k : len(h) + k]) * np.uint64(0xBF58476D1CE4E5B9)
+                    h ^= h >> np.uint64(32)
+            ends = np.cumsum(length)
+            for i, (end, m) in enumerate(zip(ends.tolist(), length.tolist())):
+                if m >= n:
+                    x = np.sort(h[end - m : end - n + 1])
+                    counts = np.diff(np.append(np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])), len(x)))
+                    out[a + i] = np.sort(counts)[::-1][: int(len(counts) ** 0.5)].sum() / len(x)
+        a = b
+    return pd.Series(out).astype(object).where(~np.isnan(out), None)
 
 
 def char_repetition(text: Column, n: int) -> Column:
     """Share of the most frequent grams, as many as the root of the different
-    ones; null if the text is shorter than n."""
-    chars = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+    ones; null if the text is shorter than n.
 
-    def score(counts: Column) -> Column:
-        top = F.floor(F.sqrt(F.size(counts))).cast("int")
-        best = F.slice(F.sort_array(counts, False), F.lit(1), top)
-        add = lambda a: F.aggregate(a, F.lit(0), lambda x, y: x + y)
-        return add(best) / add(counts)
+    An Arrow function: a rolling hash over a batch takes a tenth of the time that
+    arrays of single characters take, which is what built-in functions offer.
+    """
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        return _char_scores(texts, n)
 
-    # each step is bound once; an expression inside a lambda would be evaluated per element
-    return F.when(F.length(text) >= n, _let(chars, lambda c: _let(_counts(_hashes(c, n)), score)))
+    return score.asNondeterministic()(text)  # else a filter above would call it again
 
 
 def tokenize(text: Column) -> Column:

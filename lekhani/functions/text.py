@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,12 +31,12 @@ LETTER_RANGES = (
 )
 
 # Marks that may end a chunk, endings that never may, sentence delimiters.
-TERMINALS = ". ! ? । : , ; ) \" ' ؟ ۔".split(" ")
+TERMINALS = [".", "!", "?", "।", ":", ",", ";", ")", "\"", "'", "؟", "۔"]
 BAD_ENDINGS = ("...", "####")
-DELIMITERS = ". ? ! । | ॥ ؟ ۔".split(" ")
+DELIMITERS = [".", "?", "!", "।", "|", "॥", "؟", "۔"]
 
 # Scripts of Indic and Latin text.
-SCRIPTS = "Latin Devanagari Bengali Gujarati Gurmukhi Kannada Malayalam Oriya Tamil Telugu Meetei_Mayek Arabic Dogra Ol_Chiki".split()
+SCRIPTS = ["Latin", "Devanagari", "Bengali", "Gujarati", "Gurmukhi", "Kannada", "Malayalam", "Oriya", "Tamil", "Telugu", "Meetei_Mayek", "Arabic", "Dogra", "Ol_Chiki"]
 
 
 def _class(ranges) -> str:
@@ -123,6 +124,37 @@ def split_sentences(text: Column) -> Column:
     return F.element_at(F.transform(F.array(whole), lambda w: F.concat(w, F.array(F.substring(text, F.length(F.array_join(w, "")) + 1, F.length(text))))), 1)
 
 
+# Short forms after which a full stop ends no sentence.
+SHORT_FORMS = ("Mr", "Mrs", "Ms", "Dr", "Prof", "St", "Jr", "Sr", "vs", "etc", "No", "Fig", "Vol", "pp", "cf", "e.g", "i.e")
+
+
+def split_at_terminal(text: Column, language: Column | None = None) -> Column:
+    """Sentences, trimmed and without empty ones; the marks stay.
+
+    Ends are . ? ! (not after initials, short forms or between digits), dandas
+    and the full stop and question mark of Urdu, each with blanks after it;
+    texts in ``urdu`` are not divided at dandas.
+    """
+    forms = "|".join(f.replace(".", r"\.") for f in SHORT_FORMS)
+    ends = lambda extra: rf"(?<=[.?!؟۔{extra}][\"”’)]?)(?<!\b\p{{Lu}}\.)(?<!\b(?:{forms})\.)\s+"
+    cut = lambda p: F.filter(F.transform(F.split(text, p, -1), lambda x: F.regexp_replace(x, r"\A\s+|\s+\z", "")), lambda x: x != "")
+    general = cut(ends("।॥"))
+    return general if language is None else F.when(language == "urdu", cut(ends(""))).otherwise(general)
+
+
+def split_by(splitter, text: Column, language: Column) -> Column:
+    """Sentences by a function of one's own: a column function (text, language) ->
+    array, or a Python function (str, str) -> list of strings, which runs in Arrow batches."""
+    if getattr(splitter, "takes_columns", False) or splitter is split_at_terminal:
+        return splitter(text, language)
+
+    @F.pandas_udf("array<string>")
+    def run(texts: pd.Series, languages: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else splitter(t, lang) for t, lang in zip(texts, languages)], dtype="object")
+
+    return run(text, language)
+
+
 def foreign_char_count(text: Column) -> Column:
     """Characters of other scripts (or of no script) that are no punctuation or space."""
     return F.regexp_count(text, F.lit(FOREIGN_CLASS))

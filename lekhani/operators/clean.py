@@ -9,6 +9,7 @@ from lekhani.config import Config
 from lekhani.functions import code as C
 from lekhani.functions import text as T
 from lekhani.operators import stats
+from lekhani.operators.dedup import one_per_key
 from lekhani.operators.lines import doc_to_chunks, lines_to_doc
 
 
@@ -89,7 +90,8 @@ def drop_repeated_chunks(df: DataFrame, id_col: str = "doc_id", url_col: str = "
 
 
 def preprocess(df: DataFrame, passthrough: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Input of cleaning: failed extractions and null texts out, ids once."""
+    """Input of cleaning: failed extractions and null texts out, then ids once;
+    which of several rows stays does not depend on partitions."""
     if "successful_extraction" in passthrough and "successful_extraction" in df.columns:
         df = df.where("successful_extraction")
-    return df.dropDuplicates([id_col]).select(id_col, text_col, *[c for c in passthrough if c not in (id_col, text_col)]).dropna(subset=[text_col])
+    return one_per_key(df.select(id_col, text_col, *[c for c in passthrough if c not in (id_col, text_col)]).dropna(subset=[text_col]), id_col)

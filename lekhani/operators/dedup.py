@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from lekhani.session import cut_lineage
 
-#: Columns kept for deduplication.
-PREDEDUP = "doc_id url source language doc_lang doc_lang_iso text bytes words_count char_count lines_count mean_line_length min_line_length max_line_length nsfw_words_count non_li_char_count".split()
+# Columns kept for deduplication.
+PREDEDUP = ["doc_id", "url", "source", "language", "doc_lang", "doc_lang_iso", "text", "bytes", "words_count", "char_count", "lines_count", "mean_line_length", "min_line_length", "max_line_length", "nsfw_words_count", "non_li_char_count"]
 SHINGLE, SIMILARITY = 5, 0.8
 #: The similarity as a fraction, so that the bound is exact.
 NUM, DEN = Fraction(str(SIMILARITY)).as_integer_ratio()
@@ -19,11 +19,12 @@ NUM, DEN = Fraction(str(SIMILARITY)).as_integer_ratio()
 CELL = 256
 
 
-def one_per_key(df: DataFrame, key: str, order: list) -> DataFrame:
-    """The first row of every key in a given order; ties end in a full comparison,
-    so the survivor does not depend on partitioning."""
-    ties = [F.col(c) for c, t in df.dtypes if not t.startswith(("map", "void")) and c != key]
-    rank = F.row_number().over(W.partitionBy(key).orderBy(*order, *ties))
+def one_per_key(df: DataFrame, key: str, order: list | None = None) -> DataFrame:
+    """The first row of every key in a given order; ties end in a hash of the whole
+    row, so the survivor does not depend on partitioning. Every task keeps one row
+    a key before the shuffle, so a key with very many rows does no harm."""
+    whole = F.xxhash64(*[F.to_json(F.struct(c)) if "map<" in t else F.col(c) for c, t in df.dtypes])
+    rank = F.row_number().over(W.partitionBy(key).orderBy(*(order or []), whole))
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
@@ -95,6 +96,12 @@ def components(links: DataFrame) -> DataFrame:
     return labels
 
 
+def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of one document of each near-duplicate class, the one with the least id."""
+    classes = near_duplicates(df, id_col, text_col).where(F.col("class_id") == F.col(id_col)).select(id_col)
+    return df.join(classes, id_col, "left_semi")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, class_id): near-duplicate classes of documents; a document of its own is its own class.
 

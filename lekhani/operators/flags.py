@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lekhani.config import Config
 from lekhani.functions import ngrams as N
 from lekhani.functions import text as T
+from lekhani.operators.dedup import one_per_key
 
 
 def heavy(part: Column, whole: Column, threshold: float) -> Column:
@@ -66,9 +67,10 @@ def nsfw_side_output(flagged: DataFrame, config: Config = Config()) -> DataFrame
 
 def remove_documents(docs: DataFrame, stats: DataFrame, key: str = "doc_id") -> DataFrame:
     """Documents with kept statistics, and the statistics but doc_lang. Each key
-    is taken once on either side; of columns both have, the documents' stay."""
+    is taken once on either side, the same row on every run; of columns both
+    have, the documents' stay."""
     clash = [c for c in stats.columns if c != key and c in docs.columns]
-    return docs.dropDuplicates([key]).join(stats.dropDuplicates([key]).drop("doc_lang", *clash), key)
+    return one_per_key(docs, key).join(one_per_key(stats, key).drop("doc_lang", *clash), key)
 
 
 def surviving_documents(docs: DataFrame, stats: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 from lekhani.functions import text as T
 
 
+def computed_once(df: DataFrame, keep: list, columns: list[Column]) -> DataFrame:
+    """``keep`` and the ``columns``, which are computed once for whatever is built on
+    them: filters are not pushed below a generator, and projections not merged
+    with it, so that the optimizer copies no expression into its uses."""
+    return df.select(*keep, F.inline(F.array(F.struct(*columns))))
+
+
 def doc_to_chunks(df: DataFrame, text_col: str = "text", symbol: str = "\n") -> DataFrame:
     """A row per chunk: ``pos`` from 0, ``text_col`` the chunk; empty chunks stay. Null texts vanish."""
     keep = [F.col(c) for c in df.columns if c != text_col]

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lekhani.config import Config
-from lekhani.functions import html, language, normalize
-from lekhani.operators import clean, flags, lines, stats
+from lekhani.functions import html, language, normalize, text
+from lekhani.operators import clean, dedup, flags, lines, stats
 from lekhani.sources import readers
 
 
@@ -26,7 +26,7 @@ def json_to_parquet(spark, glob: str, lang: str, mode: str = "crawl", multiline:
 
 def extract_text(raw: DataFrame) -> DataFrame:
     """Stage 2: main text and metadata of pages with a timestamp, ids once."""
-    pages = raw.dropDuplicates(["doc_id"]).dropna(subset=["timestamp"])
+    pages = dedup.one_per_key(raw.dropna(subset=["timestamp"]), "doc_id")
     return html.extract_pages(pages, ["doc_id", "url", "source", "timestamp", "language"])
 
 
@@ -48,29 +48,35 @@ class Analysis:
     lines: DataFrame
     docs: DataFrame
     stats: DataFrame
+    #: documents with their statistics and scores, in one row each
+    rows: DataFrame
 
 
-def analyse(identified: DataFrame, keyword_lists: dict | None = None, config: Config = Config(), passthrough: list[str] | None = None, normaliser=None) -> Analysis:
-    """Stage 5: line statistics, documents of the surviving lines, document statistics."""
+def analyse(identified: DataFrame, keyword_lists: dict | None = None, config: Config = Config(), passthrough: list[str] | None = None, rules: dict | None = None, splitter=None) -> Analysis:
+    """Stage 5: line statistics, documents of the surviving lines, document statistics.
+
+    Lines never leave their document's row: all three results are columns of the
+    same rows, so nothing is grouped or joined, and only line statistics are
+    exploded, by whoever reads them. ``rules`` normalise texts by language;
+    ``splitter`` (text, language) -> list replaces the sentence splitter.
+    """
     keep = passthrough or [c for c in ("doc_id", "url", "source", "language", "doc_lang", "doc_lang_iso") if c in identified.columns]
-    rows = lines.doc_to_sentences(identified.select(*keep, "text"))
-    lang = F.col("doc_lang") if "doc_lang" in identified.columns else F.lit("other")
-    rows = rows.withColumn("text", normalize.normalize(F.col("text"), lang, normaliser))
-    line = stats.line_stats(rows, keyword_lists, lang_col="doc_lang" if "doc_lang" in identified.columns else None, drop_numbers=config.remove_only_number)
-    texts = lines.lines_to_doc(line)
-    docs = identified.select(*keep).join(texts, "doc_id")
-    doc = stats.doc_stats(line)
+    named = "doc_lang" in identified.columns
+    lang = F.col("doc_lang") if named else F.lit("other")
+    sentences = text.split_sentences(F.col("text")) if splitter is None else text.split_by(splitter, F.col("text"), lang)
+    parts = lines.computed_once(identified.where("text is not null"), [F.col(c) for c in keep], [sentences.alias("_raw")])
+    parts = parts.select(*keep, normalize.normalize_all(F.col("_raw"), lang, rules).alias("_parts"))
+    rows = stats.documents_of_lines(parts, keep, F.col("_parts"), keyword_lists, F.col("doc_lang") if named else None, config.remove_only_number)
     if config.calculate_repetition_scores:
-        scored = stats.repetition_scores(texts, tuple(config.char_ngram_cum_thresholds), tuple(config.word_ngram_cum_thresholds)).drop("text")
-        doc = doc.join(scored, "doc_id")
-    if "doc_lang" in identified.columns:
-        doc = doc.join(identified.select("doc_id", "doc_lang"), "doc_id")
-    return Analysis(line, docs, doc)
+        rows = stats.repetition_scores(rows, tuple(config.char_ngram_cum_thresholds), tuple(config.word_ngram_cum_thresholds))
+    measured = [c for c in rows.columns if c not in (*keep, "_lines", "text")]
+    line = rows.select(*keep, F.explode("_lines").alias("_line")).select(*keep, "_line.*")
+    return Analysis(line, rows.select(*keep, "text"), rows.select("doc_id", *measured, *(["doc_lang"] if named else [])), rows.drop("_lines"))
 
 
 def flag_and_filter(doc_stats: DataFrame, config: Config = Config()) -> tuple[DataFrame, DataFrame]:
     """Stage 6: (kept statistics, keyword-heavy side output)."""
-    flagged = flags.add_flags(doc_stats.dropDuplicates(["doc_id"]), config)
+    flagged = flags.add_flags(dedup.one_per_key(doc_stats, "doc_id"), config)
     return flags.keep_unflagged(flagged, config), flags.nsfw_side_output(flagged, config)
 
 
@@ -88,16 +94,13 @@ COMPONENTS = {
 
 def default_detectors() -> list:
     """Three detectors that need no models."""
-    first, second = language.MarkedDetector(), language.ScriptDetector()
-    third = language.MarkedDetector()
-    third.name = "marked_again"
-    return [first, second, third]
+    return language.default_detectors()
 
 
 def curate(extracted: DataFrame, codes: dict, keyword_lists: dict | None = None, config: Config = Config(), detectors: list | None = None) -> DataFrame:
-    """Stages 3 to 7 in memory."""
+    """Stages 3 to 7 in memory. Documents and statistics stay in one row, so
+    ids are made unique once and nothing is joined."""
     cleaned, _ = clean_documents(extracted, config=config)
     identified = identify_language(cleaned, detectors or default_detectors(), codes)
-    analysis = analyse(identified, keyword_lists, config)
-    kept, _ = flag_and_filter(analysis.stats, config)
-    return remove_documents(analysis.docs, kept)
+    rows = analyse(identified, keyword_lists, config).rows
+    return flags.keep_unflagged(flags.add_flags(rows, config), config)

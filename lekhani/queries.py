@@ -380,10 +380,49 @@ def iso_mapping(spark, d):
     return table(spark, d, "lid").select("doc_id", L.iso_code(F.col("doc_lang"), codes).alias("code"))
 
 
-@query()
+def _in(words) -> str:
+    return "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + ")"
+
+
+def _first_most(counts: list[tuple[str, str]]) -> tuple[str, str, str]:
+    """SQL of the first label with the most, of the most and of the sum."""
+    most = "greatest(" + ", ".join(n for _, n in counts) + ")"
+    whens = " ".join(f"WHEN {n} = {most} THEN '{x}'" for x, n in counts)
+    return f"CASE WHEN {most} = 0 THEN 'other' {whens} END", most, "(" + " + ".join(n for _, n in counts) + ")"
+
+
+def _detector_sql(source: str) -> str:
+    """CTE ``said``: what the three built-in detectors say of ``source`` (doc_id, t)."""
+    share = "coalesce(len(regexp_extract_all(t, '[a-zA-Z0-9]')) / nullif(length(t) - len(regexp_extract_all(t, '[@_!#$%^&*()<>?/|}{~:]')) - len(regexp_extract_all(t, '[\\s\\x{0b}\\x1c-\\x1f\\x{85}\\p{Z}]')) - len(regexp_extract_all(t, '\\n')), 0), 0)".replace("\\\\", "\\")
+    scripts = ", ".join(f"len(regexp_extract_all(t, '{L.block_class(r)}')) AS s_{c}" for c, _, r in L.SCRIPT_BLOCKS)
+    hits = lambda words: f"len(list_filter(w, lambda x: x IN {_in(words)}))"
+    words = ", ".join(f"{hits(w + (L.ROMAN_WORDS if lang == 'hindi' else ()))} AS w_{lang}" for lang, w in L.FUNCTION_WORDS.items())
+    pairs = lambda p: f"len(regexp_extract_all(lower(t), '{'|'.join(p)}'))"
+    script, n, total = _first_most([(c, f"s_{c}") for c, _, _ in L.SCRIPT_BLOCKS])
+    spoken, m, _ = _first_most([(lang, f"w_{lang}") for lang in L.FUNCTION_WORDS])
+    alone = " ".join(f"WHEN script = '{c}' THEN '{lang}'" for c, lang, _ in L.SCRIPT_BLOCKS)
+    return f"""d_words AS (SELECT *, list_filter(regexp_split_to_array(lower(t), '{L.BETWEEN}'), lambda x: x != '') AS w FROM {source}),
+d_counts AS (SELECT *, {share} AS roman, {scripts}, {words}, {hits(L.ROMAN_WORDS)} AS h, {hits(L.FUNCTION_WORDS['english'])} AS e, {hits(L.FUNCTION_WORDS['marathi'])} > {hits(L.FUNCTION_WORDS['hindi'])} AS marathi, {pairs(L.ROMAN_PAIRS)} AS hp, {pairs(L.ENGLISH_PAIRS)} AS ep FROM d_words),
+d_script AS (SELECT *, {script} AS script, coalesce({n} / nullif({total}, 0), 0)::FLOAT AS script_share FROM d_counts),
+said AS (SELECT doc_id,
+CASE WHEN roman > {L.ROMAN_SHARE} THEN CASE WHEN coalesce(greatest(h, e) / nullif(h + e, 0), 0) > {L.ROMAN_SCORE} THEN CASE WHEN h > e THEN 'hindi' ELSE 'english' END WHEN hp > ep THEN 'hindi' ELSE 'english' END
+WHEN script = 'Deva' AND marathi THEN 'marathi' WHEN script = 'Beng' AND regexp_matches(t, '[{L.ASSAMESE_LETTERS}]') THEN 'assamese' {alone} ELSE 'other' END AS routed_lang,
+CASE WHEN roman > {L.ROMAN_SHARE} THEN coalesce(CASE WHEN coalesce(greatest(h, e) / nullif(h + e, 0), 0) > {L.ROMAN_SCORE} THEN greatest(h, e) / nullif(h + e, 0) ELSE greatest(hp, ep) / nullif(hp + ep, 0) END, 0)::FLOAT ELSE script_share END AS routed_probability,
+CASE WHEN roman > {L.ROMAN_SHARE} THEN 'Latn' ELSE script END AS routed_script,
+{spoken} AS words_lang, coalesce({m} / nullif(len(w), 0), 0)::FLOAT AS words_probability,
+CASE {alone} ELSE 'other' END AS script_lang, script_share AS script_probability FROM d_script),
+voted AS (SELECT *, CASE WHEN words_lang = script_lang AND routed_lang <> words_lang THEN words_lang ELSE routed_lang END AS vote FROM said),
+named AS (SELECT *, CASE WHEN vote IN (SELECT language FROM lang_names) THEN vote ELSE 'other' END AS doc_lang FROM voted),
+identified AS (SELECT named.*, CASE WHEN doc_lang = 'other' THEN 'other' ELSE iso639_3 END AS doc_lang_iso FROM named LEFT JOIN lang_names ON doc_lang = lang_names.language)"""
+
+
+@query(f"""WITH texts AS (SELECT doc_id, replace(text, chr(10), ' ') AS t FROM lid WHERE text IS NOT NULL), {_detector_sql('texts')}
+SELECT doc_id, doc_lang, doc_lang_iso, routed_lang, routed_script, words_lang, script_lang, round(routed_probability::DOUBLE, 4) AS routed_probability, round(words_probability::DOUBLE, 4) AS words_probability, round(script_probability::DOUBLE, 4) AS script_probability FROM identified""")
 def identify_language(spark, d):
     codes = readers.language_codes(table(spark, d, "lang_names"))
-    return stages.identify_language(table(spark, d, "lid").drop("doc_lang", "doc_lang_iso"), stages.default_detectors(), codes).drop("text")
+    found = stages.identify_language(table(spark, d, "lid").drop("doc_lang", "doc_lang_iso"), stages.default_detectors(), codes)
+    names = ("routed", "words", "script")
+    return found.select("doc_id", "doc_lang", "doc_lang_iso", "routed_lang", "routed_script", "words_lang", "script_lang", *[F.round(F.col(f"{n}_probability").cast("double"), 4).alias(f"{n}_probability") for n in names])
 
 
 # Deduplication, sinks, whole pipeline --------------------------------------
