@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -80,6 +81,10 @@ _FLAGS = f"""{_DOC_STATS},
 flagged AS (SELECT *, lines_count <= 4 AS has_less_lines, mean_line_length <= 5 AS is_short_lines_heavy, coalesce(non_li_char_count / nullif(char_count, 0) >= 0.05, false) AS is_non_li_heavy FROM doc_stats)"""
 
 
+def _in(words) -> str:
+    return "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + ")"
+
+
 def _big(df: DataFrame, *columns: str) -> DataFrame:
     """Counts as BIGINT, as SQL has them."""
     return df.withColumns({c: F.col(c).cast("bigint") for c in columns})
@@ -141,6 +146,14 @@ def roman_share(spark, d):
     return table(spark, d, "lid").where("text is not null").select("doc_id", F.round(T.roman_share(F.col("text")), 6).alias("roman_share"))
 
 
+_ROMAN = """coalesce(len(regexp_extract_all(text, '[a-zA-Z0-9]')) / nullif(length(text) - len(regexp_extract_all(text, '[@_!#$%^&*()<>?/|}{~:]')) - len(regexp_extract_all(text, '[\\s\\x{0b}\\x1c-\\x1f\\x{85}\\p{Z}]')) - len(regexp_extract_all(text, '\\n')), 0), 0)""".replace("\\\\", "\\")
+
+
+@query(f"SELECT doc_id, CASE WHEN {_ROMAN} > 0.5 THEN 'roman' ELSE 'native' END AS route FROM lid WHERE text IS NOT NULL")
+def script_route(spark, d):
+    return table(spark, d, "lid").where("text is not null").select("doc_id", F.when(L.is_roman(F.col("text")), "roman").otherwise("native").alias("route"))
+
+
 @query(f"SELECT doc_id, {_foreign('text')}::BIGINT AS foreign_chars FROM lid WHERE text IS NOT NULL")
 def non_li_chars(spark, d):
     return _big(table(spark, d, "lid").where("text is not null").select("doc_id", T.foreign_char_count(F.col("text")).alias("foreign_chars")), "foreign_chars")
@@ -188,6 +201,27 @@ def lines_to_doc(spark, d):
     return lines.lines_to_doc(lines.doc_to_sentences(documents(spark, d).select("doc_id", "text")))
 
 
+@query(f"WITH {_SENTENCES} SELECT doc_id, line AS text, count(*) AS count FROM sentences GROUP BY ALL")
+def repeated_line_map(spark, d):
+    rows = lines.doc_to_sentences(documents(spark, d).select("doc_id", "text"))
+    return _big(stats.repeated_line_dist(rows).select("doc_id", F.explode("repeated_line_dist").alias("text", "count")), "count")
+
+
+_BUNDLE = f"""{_LINE_STATS}, symbols AS (SELECT doc_id, sum(len(regexp_extract_all(line, '[^{_VALID} \n]|\\p{{Nd}}')))::BIGINT AS symbol_numbers_count FROM sentences GROUP BY doc_id),
+freq AS (SELECT doc_id, words_count, count(*) AS n FROM line_stats GROUP BY ALL), modes AS (SELECT doc_id, words_count AS mode, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, words_count) AS k FROM freq),
+repeats AS (SELECT doc_id, count(*) FILTER (WHERE n > 1) AS repeated_lines, max(n) AS most_repeats FROM (SELECT doc_id, line, count(*) AS n FROM line_stats GROUP BY ALL) GROUP BY doc_id)""".replace("\\\\", "\\")
+
+
+@query(f"""WITH {_BUNDLE} SELECT doc_id, count(*) AS num_of_lines, sum(bytes)::BIGINT AS bytes, sum(words_count)::BIGINT AS words_count, sum(char_count)::BIGINT AS char_count, sum(non_li_char_count)::BIGINT AS non_li_count, any_value(symbol_numbers_count) AS symbol_numbers_count, round(avg(words_count), 6) AS mean, round(median(words_count), 6) AS median, any_value(mode)::BIGINT AS mode, min(words_count)::BIGINT AS min, max(words_count)::BIGINT AS max, any_value(repeated_lines) AS repeated_lines, any_value(most_repeats) AS most_repeats
+FROM line_stats JOIN symbols USING (doc_id) JOIN modes USING (doc_id) JOIN repeats USING (doc_id) WHERE k = 1 GROUP BY doc_id""")
+def document_bundle(spark, d):
+    rows = lines.doc_to_sentences(documents(spark, d).select("doc_id", "source", "url", "text"))
+    out = stats.document_bundle(stats.line_stats(rows, lang_col=None, symbols=True))
+    counts, length = F.map_values("repeated_line_dist"), F.col("line_length_stats")
+    out = out.select("doc_id", "num_of_lines", *[F.col("stats")[c].alias(c) for c in ("bytes", "words_count", "char_count", "non_li_count", "symbol_numbers_count")], F.round(length["mean"], 6).alias("mean"), F.round(length["median"], 6).alias("median"), *[length[c].alias(c) for c in ("mode", "min", "max")], F.size(F.filter(counts, lambda n: n > 1)).alias("repeated_lines"), F.array_max(counts).alias("most_repeats"))
+    return _big(out, "num_of_lines", "mode", "min", "max", "repeated_lines", "most_repeats")
+
+
 # Repetition ----------------------------------------------------------------
 
 _CHAR_GRAMS = """g AS (SELECT doc_id, substring(text, i, 10) AS g FROM (SELECT doc_id, text, unnest(generate_series(1, length(text) - 9)) AS i FROM documents WHERE length(text) >= 10)),
@@ -233,6 +267,14 @@ def doc_flags(spark, d):
     return _flagged(spark, d).select("doc_id", "has_less_lines", "is_short_lines_heavy", "is_non_li_heavy")
 
 
+@query(f"""WITH {_FLAGS}, symbols AS (SELECT doc_id, sum(len(regexp_extract_all(line, '[^{_VALID} \n]|\\p{{Nd}}')))::BIGINT AS s FROM sentences GROUP BY doc_id)
+SELECT doc_id, has_less_lines, is_short_lines_heavy, false AS is_nsfw_heavy, is_non_li_heavy, coalesce(s / nullif(char_count, 0) >= 0.1, false) AS is_symbol_number_heavy FROM flagged JOIN symbols USING (doc_id)""".replace("\\\\", "\\"))
+def flag_document(spark, d):
+    rows = lines.doc_to_sentences(documents(spark, d).select("doc_id", "text"))
+    counted = stats.doc_stats(stats.line_stats(rows, lang_col=None, symbols=True))
+    return flags.flag_document(counted, 0.1, _NO_SCORES).select("doc_id", "has_less_lines", "is_short_lines_heavy", "is_nsfw_heavy", "is_non_li_heavy", "is_symbol_number_heavy")
+
+
 @query(f"WITH {_FLAGS} SELECT doc_id, lines_count FROM flagged WHERE NOT has_less_lines AND NOT is_short_lines_heavy AND NOT is_non_li_heavy")
 def filtered_stats(spark, d):
     return flags.keep_unflagged(_flagged(spark, d), _NO_SCORES).select("doc_id", "lines_count")
@@ -258,15 +300,28 @@ _HITS = r"""terms AS (SELECT language, string_agg(regexp_replace(regexp_replace(
 kw AS (SELECT d.doc_id, CASE WHEN p IS NULL THEN 0 ELSE len(regexp_extract_all(regexp_replace(lower(text), '([^0-9A-Za-z_])', '\1\1', 'g'), '(?s)(^|[^0-9A-Za-z_])(' || p || ')([^0-9A-Za-z_]|$)')) END AS hits FROM documents d LEFT JOIN terms t ON d.lang = t.language WHERE d.text IS NOT NULL)"""
 
 
+_SPLIT_TERMS = r"""t_patterns AS (SELECT language, '(?s)(^|[^0-9A-Za-z_])(' || p || ')([^0-9A-Za-z_]|$)' AS p FROM terms),
+t_names AS (SELECT DISTINCT language, lower(term) AS term, regexp_replace(lower(term), '([^0-9A-Za-z_])', '\1\1', 'g') AS twice FROM flag_terms),
+"""
+
+
+def _term_hits(source: str) -> str:
+    """CTE ``found``: a row per hit (doc_id, term, nth and the doubled pieces) in ``source`` (doc_id, lang, pos, line)."""
+    return rf"""{_HITS.split("kw AS")[0]}{_SPLIT_TERMS}doubled AS (SELECT doc_id, lang, pos, p, regexp_replace(lower(line), '([^0-9A-Za-z_])', '\1\1', 'g') AS x FROM {source} JOIN t_patterns ON lang = language),
+pieces AS (SELECT doc_id, lang, pos, regexp_extract_all(x, p, 0) AS m, regexp_extract_all(x, p, 1) AS border, regexp_extract_all(x, p, 2) AS h, regexp_split_to_array(x, p) AS gap FROM doubled),
+numbered AS (SELECT *, unnest(h) AS twice, generate_subscripts(h, 1) AS k FROM pieces),
+found AS (SELECT numbered.*, term FROM numbered JOIN t_names ON lang = language AND numbered.twice = t_names.twice)"""
+
+
 def _lists(spark, d) -> dict[str, list[str]]:
     return K.lists_from_table(table(spark, d, "flag_terms"))
 
 
-@query()
+@query(f"WITH texts AS (SELECT doc_id, lang, 0 AS pos, text AS line FROM documents WHERE text IS NOT NULL), {_term_hits('texts')} SELECT doc_id, term, count(*) AS count FROM found GROUP BY ALL")
 def keyword_counts(spark, d):
     docs = documents(spark, d).where("text is not null")
     dist = K.by_language(F.col("text"), F.col("lang"), _lists(spark, d), K.distribution)
-    return docs.select("doc_id", F.explode(dist).alias("term", "count"))
+    return _big(docs.select("doc_id", F.explode(dist).alias("term", "count")), "count")
 
 
 @query(f"WITH {_HITS} SELECT doc_id, hits::BIGINT AS hits FROM kw")
@@ -276,11 +331,17 @@ def keyword_totals(spark, d):
     return docs.select("doc_id", K.total(dist).cast("bigint").alias("hits"))
 
 
-@query()
+# lengths in the doubled text: a character of no word counts half
+_HALF = "(length({x}) - length(regexp_replace({x}, '[0-9A-Za-z_]', '', 'g')) / 2)"
+
+
+@query(f"""WITH texts AS (SELECT doc_id, lang, 0 AS pos, text AS line FROM documents WHERE text IS NOT NULL), {_term_hits('texts')},
+placed AS (SELECT doc_id, term, twice, list_sum(list_transform(gap[1:k], lambda y: {_HALF.format(x='y')})) + coalesce(list_sum(list_transform(m[1:k - 1], lambda y: {_HALF.format(x='y')})), 0) + {_HALF.format(x='border[k]')} AS start FROM found)
+SELECT doc_id, term, start::BIGINT AS start, (start + {_HALF.format(x='twice')})::BIGINT AS "end" FROM placed""")
 def keyword_positions(spark, d):
     docs = documents(spark, d).where("text is not null")
     found = K.by_language(F.col("text"), F.col("lang"), _lists(spark, d), K.hit_positions)
-    return docs.select("doc_id", F.explode(found).alias("hit")).select("doc_id", "hit.*")
+    return _big(docs.select("doc_id", F.explode(found).alias("hit")).select("doc_id", "hit.*"), "start", "end")
 
 
 @query(r"""SELECT doc_id, len(list_filter(string_split(regexp_replace(lower(text), '[^0-9A-Za-z_]', ' ', 'g'), ' '), lambda x: x IN ('the', 'of', 'and', 'in', 'is')))::BIGINT AS stop_words FROM documents WHERE text IS NOT NULL""")
@@ -289,14 +350,19 @@ def stopword_totals(spark, d):
     return documents(spark, d).where("text is not null").select("doc_id", K.total(dist).cast("bigint").alias("stop_words"))
 
 
-@query()
+_SENTENCE_HITS = f"{_SENTENCES}, spoken AS (SELECT sentences.doc_id, lang, pos, line FROM sentences JOIN documents USING (doc_id)), {_term_hits('spoken')}"
+
+
+@query(f"WITH {_SENTENCE_HITS} SELECT doc_id, term, count(*) AS count FROM found GROUP BY ALL")
 def merged_keywords(spark, d):
     rows = lines.doc_to_sentences(documents(spark, d).select("doc_id", "lang", "text"))
     counted = stats.line_stats(rows, _lists(spark, d), lang_col="lang")
-    return stats.merge_distributions(counted).select("doc_id", F.explode("nsfw_word_dist").alias("term", "count"))
+    return _big(stats.merge_distributions(counted).select("doc_id", F.explode("nsfw_word_dist").alias("term", "count")), "count")
 
 
-@query()
+@query(f"""WITH {_FLAGS}, spoken AS (SELECT sentences.doc_id, lang, pos, line FROM sentences JOIN documents USING (doc_id)), {_term_hits('spoken')},
+hits AS (SELECT doc_id, count(*) AS n FROM found GROUP BY doc_id)
+SELECT doc_id, n AS nsfw_words_count, words_count FROM flagged JOIN hits USING (doc_id) WHERE NOT has_less_lines AND NOT is_short_lines_heavy AND n / words_count >= 0.01""")
 def nsfw_side_output(spark, d):
     rows = lines.doc_to_sentences(documents(spark, d).select("doc_id", "lang", "text"))
     counted = stats.doc_stats(stats.line_stats(rows, _lists(spark, d), lang_col="lang"))
@@ -331,19 +397,39 @@ def repeated_chunk_filter(spark, d):
     return clean.unique_chunks(once.drop("doc_id")).select("url", F.col("text").alias("chunk"))
 
 
-@query()
+def _code_sql(source: str) -> str:
+    """CTEs ``spans`` (row, p, k, opens, n) and ``bare`` (row, bare: the text
+    without code) of ``source`` (row, text). Places are sums of the lengths of
+    the matches and of what stands between them."""
+    re2 = lambda p: p.replace("(?d)", "")
+    parts = " UNION ALL ".join(f"SELECT row, text, {k} AS p, regexp_extract_all(text, '{re2(p)}') AS m, regexp_split_to_array(text, '{re2(p)}') AS gap FROM {source}{' WHERE contains(text, chr(123))' if k else ''}" for k, p in enumerate((C.TAG_PAIR, C.SCRIPT_FUNCTION, C.STYLE_RULE)))
+    return f"""matched AS ({parts}),
+each AS (SELECT row, text, p, m, gap, unnest(generate_series(1, len(m))) AS k FROM matched),
+spans AS (SELECT row, text, p, k, (list_sum(list_transform(gap[1:k], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:k - 1], lambda x: length(x))), 0))::BIGINT AS opens, length(m[k]) AS n FROM each),
+ordered AS (SELECT row, text, p, k, opens, opens + n AS stop, lag(opens + n, 1, 0) OVER (PARTITION BY row ORDER BY p, k) AS ahead FROM spans),
+between AS (SELECT row, string_agg(CASE WHEN opens > ahead THEN substring(text, ahead + 1, opens - ahead) ELSE '' END, '' ORDER BY p, k) || any_value(text)[arg_max(stop, p * 1000000 + k) + 1:] AS kept FROM ordered GROUP BY row),
+bare AS (SELECT s.row, coalesce(kept, text) AS bare FROM {source} s LEFT JOIN between USING (row))"""
+
+
+_PAGES = "pages AS (SELECT row_number() OVER () AS row, * FROM (SELECT DISTINCT doc_id, html AS text FROM raw_crawl WHERE html IS NOT NULL))"
+
+
+@query(f"""WITH pages AS (SELECT row_number() OVER () AS row, * FROM (SELECT DISTINCT doc_id, url, source, coalesce(html, text) AS text FROM raw_crawl) WHERE text IS NOT NULL), {_code_sql('pages')},
+r AS (SELECT doc_id, coalesce(url, 'None') AS url, coalesce(source, 'None') AS source, bare AS t, {_symbols('bare')} AS invalid, list_filter(string_split(bare, chr(10)), lambda x: {_proper('x')}) AS kept FROM pages JOIN bare USING (row) WHERE bare != '')
+SELECT doc_id, CASE WHEN len(kept) > 0 THEN array_to_string(kept, chr(10)) || chr(10) END AS text, url, source, length(t)::BIGINT AS uncleaned_chars_count, len(string_split(t, ' '))::BIGINT AS uncleaned_words_count, strlen(t)::BIGINT AS uncleaned_bytes, round(invalid / length(t), 5) AS symbol_ratio, invalid::BIGINT AS invalid_char_count, t AS uncleaned_text FROM r WHERE invalid / length(t) < 0.2""")
 def clean_with_code(spark, d):
     rows = table(spark, d, "raw_crawl").select("doc_id", "url", "source", F.coalesce("html", "text").alias("text")).distinct()
-    return clean.clean_documents(rows, ["url", "source"])[0].drop("code_spans")
+    out = clean.clean_documents(rows, ["url", "source"])[0].drop("code_spans").withColumn("symbol_ratio", F.round(F.col("symbol_ratio").cast("double"), 5))
+    return _big(out, "uncleaned_chars_count", "uncleaned_words_count", "uncleaned_bytes", "invalid_char_count")
 
 
-@query()
+@query(f'WITH {_PAGES}, {_code_sql("pages")} SELECT doc_id, opens AS "begin", opens + n AS "end" FROM spans JOIN pages USING (row)')
 def code_spans(spark, d):
     rows = table(spark, d, "raw_crawl").select("doc_id", "html").distinct().where("html is not null")
-    return rows.select("doc_id", F.explode(C.code_spans(F.col("html"))).alias("span")).select("doc_id", F.col("span")[0].alias("begin"), F.col("span")[1].alias("end"))
+    return _big(rows.select("doc_id", F.explode(C.code_spans(F.col("html"))).alias("span")).select("doc_id", F.col("span")[0].alias("begin"), F.col("span")[1].alias("end")), "begin", "end")
 
 
-@query()
+@query(f"WITH {_PAGES}, {_code_sql('pages')} SELECT doc_id, bare AS text FROM pages JOIN bare USING (row)")
 def remove_code(spark, d):
     rows = table(spark, d, "raw_crawl").select("doc_id", "html").distinct().where("html is not null")
     return rows.select("doc_id", C.remove_code(F.col("html"), C.code_spans(F.col("html"))).alias("text"))
@@ -360,7 +446,19 @@ def extract_text(spark, d):
     return stages.extract_text(raw)
 
 
-@query()
+def _rules_sql(text: str, language: str) -> str:
+    """The normalisation rules. SQL has no NFKC; the texts here are in that form but for these rules."""
+    whens = []
+    for script in sorted(set(U.RULES_OF.values())):
+        x = text
+        for pattern, new in U.steps(script):
+            quoted = [y.replace(chr(39), chr(39) * 2) for y in (pattern, new.replace("$1", chr(92) + "1"))]
+            x = f"regexp_replace({x}, '{quoted[0]}', '{quoted[1]}', 'g')"
+        whens.append(f"WHEN {language} IN {_in([k for k, v in U.RULES_OF.items() if v == script])} THEN {x}")
+    return f"CASE {' '.join(whens)} ELSE {text} END"
+
+
+@query(f"SELECT doc_id, {_rules_sql('text', 'language')} AS text FROM lid")
 def nfkc(spark, d):
     return table(spark, d, "lid").select("doc_id", U.normalize(F.col("text"), F.col("language")).alias("text"))
 
@@ -380,10 +478,6 @@ def iso_mapping(spark, d):
     return table(spark, d, "lid").select("doc_id", L.iso_code(F.col("doc_lang"), codes).alias("code"))
 
 
-def _in(words) -> str:
-    return "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + ")"
-
-
 def _first_most(counts: list[tuple[str, str]]) -> tuple[str, str, str]:
     """SQL of the first label with the most, of the most and of the sum."""
     most = "greatest(" + ", ".join(n for _, n in counts) + ")"
@@ -439,21 +533,102 @@ def null_drop(spark, d):
     return table(spark, d, "extracted").select("doc_id", "timestamp").distinct().dropna(subset=["timestamp"])
 
 
-@query()
+_CLASSES = """WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[\\s\\x{0b}]+'), lambda x: x != '') AS w FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
+signed AS (SELECT doc_id, w, md5(array_to_string(w, ' ')) AS h FROM w WHERE len(w) > 0),
+sets AS (SELECT h, CASE WHEN len(any_value(w)) < 5 THEN [array_to_string(any_value(w), ' ')] ELSE list_distinct(list_transform(generate_series(1, len(any_value(w)) - 4), lambda i: array_to_string(any_value(w)[i:i + 4], ' '))) END AS g FROM signed GROUP BY h),
+grams AS (SELECT h, len(g) AS n, unnest(g) AS g FROM sets),
+links AS (SELECT a.h AS x, b.h AS y FROM grams a JOIN grams b ON a.g = b.g AND a.h != b.h GROUP BY a.h, b.h, a.n, b.n HAVING count(*) * 9 >= (a.n + b.n) * 4),
+reach AS (SELECT h AS x, h AS y FROM sets UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+roots AS (SELECT x AS h, min(y) AS root FROM reach GROUP BY x),
+members AS (SELECT doc_id, root FROM signed JOIN roots USING (h)),
+least AS (SELECT root, min(doc_id) AS class_id FROM members GROUP BY root),
+classes AS (SELECT d.doc_id, coalesce(min(class_id), d.doc_id) AS class_id FROM documents d LEFT JOIN (SELECT * FROM members JOIN least USING (root)) m USING (doc_id) WHERE d.doc_id IS NOT NULL GROUP BY d.doc_id)""".replace("\\\\", "\\")
+
+
+@query(f"{_CLASSES} SELECT doc_id, class_id FROM classes")
 def near_duplicates(spark, d):
     return dedup.near_duplicates(documents(spark, d))
 
 
+@query(f"{_CLASSES} SELECT doc_id, md5(text) AS text_md5 FROM documents JOIN classes USING (doc_id) WHERE class_id = doc_id")
+def near_duplicate_survivors(spark, d):
+    return dedup.drop_near_duplicates(documents(spark, d)).select("doc_id", F.md5("text").alias("text_md5"))
+
+
+def _scratch(spark) -> str:
+    """A fresh folder beside the checkpoints, which all executors share."""
+    use_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{uuid.uuid4().hex}"
+
+
 @query("SELECT doc_lang, count(*) AS n FROM lid WHERE doc_lang IS NOT NULL GROUP BY doc_lang")
 def partitioned_write(spark, d):
-    use_checkpoint_dir(spark)
-    root = spark.sparkContext._jsc.sc().getCheckpointDir().get() + "/by_language"
+    root = _scratch(spark)
     sinks.write_by_language(table(spark, d, "lid").where("doc_lang is not null").select("doc_id", "doc_lang"), root)
     return spark.read.parquet(root).groupBy("doc_lang").agg(F.count("*").alias("n"))
 
 
-@query()
+@query("SELECT doc_lang AS folder, count(*) AS n FROM lid WHERE doc_lang IS NOT NULL GROUP BY doc_lang")
+def renamed_folders(spark, d):
+    root = _scratch(spark)
+    sinks.write_by_language(table(spark, d, "lid").where("doc_lang is not null").select("doc_id", "doc_lang"), root)
+    sinks.plain_partition_names(root, spark, "doc_lang_partition")
+    folder = F.regexp_extract(F.input_file_name(), r"/([^/]+)/[^/]+$", 1)
+    return spark.read.parquet(f"{root}/*").groupBy(folder.alias("folder")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT doc_id, url, source, 'english' AS language, coalesce(html, text) AS text, timestamp FROM raw_crawl")
+def crawl_json(spark, d):
+    root = _scratch(spark)
+    table(spark, d, "raw_crawl").select("doc_id", "url", "source", "timestamp", "html", "text").write.json(root)
+    return readers.read_crawl_json(spark, root, "english", multiline=False)
+
+
+@query("SELECT doc_id, url, source, 'hindi' AS language, page_no, identifier, pdf_name, text FROM raw_ocr")
+def scan_json(spark, d):
+    root = _scratch(spark)
+    table(spark, d, "raw_ocr").write.json(root)
+    return readers.read_scan_json(spark, root, "hindi", multiline=False)
+
+
+@query("SELECT DISTINCT doc_id, url, body AS text, 'english' AS language FROM extracted")
+def stage_json(spark, d):
+    root = _scratch(spark)
+    table(spark, d, "extracted").select("doc_id", "url", "body").write.json(root)
+    return readers.read_stage_json(spark, root, ["doc_id", "url", "body"], "english", multiline=False)
+
+
+@query("SELECT source, count(*) AS n FROM documents GROUP BY source")
+def manifest_scan(spark, d):
+    root = _scratch(spark)
+    docs = documents(spark, d).select("doc_id", "source")
+    sinks.write_parquet(docs.where("doc_id % 2 = 0 or doc_id is null"), f"{root}/even")
+    sinks.write_parquet(docs.where("doc_id % 2 != 0"), f"{root}/odd")
+    spark.createDataFrame([(f"{root}/even",), ("",), (f"{root}/odd",)], "path string").coalesce(1).write.text(f"{root}/list")
+    return readers.read_manifest(spark, f"{root}/list").groupBy("source").agg(F.count("*").alias("n"))
+
+
+@query("SELECT count(*)::BIGINT AS rows FROM documents")
+def partition_rows(spark, d):
+    return sinks.partition_histogram(documents(spark, d)).agg(F.sum("rows").alias("rows"))
+
+
+_CURATED = f"""WITH pages AS (SELECT row_number() OVER () AS row, * FROM (SELECT DISTINCT doc_id, text FROM extracted WHERE text IS NOT NULL)), {_code_sql('pages')},
+bared AS (SELECT doc_id, bare AS t, list_filter(string_split(bare, chr(10)), lambda x: {_proper('x')}) AS kept FROM pages JOIN bare USING (row) WHERE bare != '' AND {_symbols('bare')} / length(bare) < 0.2),
+cleaned_docs AS (SELECT doc_id, array_to_string(kept, chr(10)) || chr(10) AS text FROM bared WHERE len(kept) > 0),
+texts AS (SELECT doc_id, replace(text, chr(10), ' ') AS t FROM cleaned_docs), {_detector_sql('texts')},
+{_SENTENCES.replace('FROM documents', 'FROM cleaned_docs')},
+spoken AS (SELECT sentences.doc_id, doc_lang, pos, {_rules_sql('line', 'doc_lang')} AS line FROM sentences JOIN identified USING (doc_id)),
+lines AS (SELECT *, len(string_split(line, ' ')) AS words FROM spoken WHERE NOT regexp_full_match(line, '\\p{{Nd}}+')),
+rebuilt AS (SELECT doc_id, any_value(doc_lang) AS doc_lang, string_agg(CASE WHEN starts_with(line, '  ') THEN substring(line, 2) ELSE line END, '' ORDER BY pos) AS text, count(*) AS lines_count, sum(words)::BIGINT AS words_count, sum(length(line))::BIGINT AS char_count, sum(strlen(line))::BIGINT AS bytes, avg(words) AS mean_line_length, sum({_foreign('line')})::BIGINT AS non_li_char_count FROM lines GROUP BY doc_id),
+{_CHAR_GRAMS.replace('FROM documents', 'FROM rebuilt')}, {_WORD_GRAMS.replace('FROM documents', 'FROM rebuilt')}
+SELECT doc_id, doc_lang, md5(text) AS text_md5, lines_count, words_count, char_count, bytes, round(mean_line_length, 6) AS mean_line_length, non_li_char_count FROM rebuilt LEFT JOIN char_scores c USING (doc_id) LEFT JOIN word_scores w USING (doc_id)
+WHERE lines_count > 4 AND mean_line_length > 5 AND NOT coalesce(non_li_char_count / nullif(char_count, 0) >= 0.05, false) AND NOT coalesce(c.score::FLOAT::DOUBLE >= 0.2, false) AND NOT coalesce(w.score::FLOAT::DOUBLE >= 0.4, false)""".replace("\\\\", "\\")
+
+
+@query(_CURATED)
 def curated_documents(spark, d):
     codes = readers.language_codes(table(spark, d, "lang_names"))
     rows = table(spark, d, "extracted").select("doc_id", "url", "source", "language", "text")
-    return stages.curate(rows, codes, _lists(spark, d), for_language("english"))
+    out = stages.curate(rows, codes, _lists(spark, d), for_language("english"))
+    return out.select("doc_id", "doc_lang", F.md5("text").alias("text_md5"), "lines_count", "words_count", "char_count", "bytes", F.round("mean_line_length", 6).alias("mean_line_length"), "non_li_char_count")

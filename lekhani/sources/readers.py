@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as St
 
+from lekhani.operators.dedup import one_per_key
+
 
 def string_schema(columns: list[str]) -> St.StructType:
     """All-string nullable schema."""
@@ -39,7 +41,7 @@ def read_stage_json(spark: SparkSession, glob: str, columns: list[str], language
     raw = read_json(spark, glob, columns, multiline)
     if "body" in columns and "text" not in columns:
         raw = raw.withColumnRenamed("body", "text")
-    return raw.withColumn("language", F.lit(language)).dropDuplicates([id_col])
+    return one_per_key(raw.withColumn("language", F.lit(language)), id_col)
 
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
