@@ -27,7 +27,7 @@ def p1_found(spark, d):
 
 def p1_repetition(spark, d):
     scored = repetition.score_repetition(_table(spark, d, "documents"))
-    return scored.select("doc_id", "n_words", "repeated_words", F.round("repeated_share", 6).alias("repeated_share"), *[r.name for r in repetition.DEFAULT_RULES])
+    return scored.select("doc_id", *[F.col(c).cast("bigint").alias(c) for c in ("n_words", "repeated_words")], F.round("repeated_share", 6).alias("repeated_share"), *[r.name for r in repetition.DEFAULT_RULES])
 
 
 def p2_found(spark, d):
@@ -44,7 +44,7 @@ def p3_found(spark, d):
 
 def p3_clean(spark, d):
     docs = _table(spark, d, "extracted")
-    return sitelines.strip_site_lines(docs, sitelines.repeated_site_lines(docs))
+    return sitelines.strip_site_lines(docs, sitelines.repeated_site_lines(docs)).withColumn("lines_removed", F.col("lines_removed").cast("bigint"))
 
 
 def p8_ids(spark, d):
