@@ -2,8 +2,8 @@
 
 A page is read once into blocks: visible text not interrupted by a tag other
 than inline ones. Pass one decides blocks on their own by length, link density
-and stop-word density; by-lines, advertisements, share prompts and teasers
-have rules of their own. Blocks that are too short to tell stay open.
+and stop-word density; only announced advertisements and lone dates have rules
+of their own. Blocks that are too short to tell stay open.
 Pass two hands them the label of the nearest decided neighbours, weighing
 first the ones in the same container. Kept are the blocks decided good inside
 the smallest container that holds the page's heading and running text.
@@ -39,9 +39,7 @@ _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/
 _SPACE = re.compile(r"\s+")
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _DATE = re.compile(r"\b\d{1,4}[/.\-]\d{1,2}[/.\-]\d{1,4}\b|\b\d{1,2}(?:st|nd|rd|th)? [A-Z][a-z]+,? \d{4}\b|\b[A-Z][a-z]+ \d{1,2}, \d{4}\b|\b\d{1,2}:\d{2}\b")
-_BYLINE = re.compile(r"^(?:by|author|written by|posted (?:on|by)|published(?: on)?|updated(?: on)?|last updated)\b[\s:]", re.I)
-_COMMENT = re.compile(r"^\s*[\w.\-]{2,30}\d+\s*$")
-_PROMPT = re.compile(r"^(?:advertisement|advert|sponsored|promoted|ad|share(?: this)?(?: .{0,30})?|follow us(?: .{0,30})?|read (?:more|also|next)|also read|related|don't miss|see also|you may also like|most read|trending|comments?|leave a (?:comment|reply)|subscribe(?: .{0,60})?)\s*[:.!]?$", re.I)
+# Words that announce an advertisement.
 _AD = re.compile(r"^(?:advertisement|advert|sponsored|promoted|paid(?: content)?|partner content|ad)\s*[:\-–—|]", re.I)
 _STOPS = frozenset(STOP_WORDS)
 
@@ -52,7 +50,6 @@ class Block:
     linked: int
     tag: str
     node: int
-    lead: str  # text of an emphasised or linked beginning
     label: str = "open"
 
 
@@ -74,24 +71,18 @@ def read_page(source: str) -> Page:
     stack = [0]
     parts: list[str] = []
     linked: list[str] = []
-    unseen = links = bold = 0
-    # of the block so far: any text yet, all of it emphasised, a blank between emphasised runs
-    said, only_lead, gap = False, False, False
-    lead: list[str] = []
+    unseen = links = 0
     title: list[str] = []
     in_title = False
 
     def flush() -> None:
-        nonlocal lead, said, only_lead, gap
-        said = only_lead = gap = False
         if parts:
             text = _SPACE.sub(" ", htmllib.unescape("".join(parts))).strip()
             if text:
                 own = len(_SPACE.sub(" ", htmllib.unescape("".join(linked))).strip()) if linked else 0
-                page.blocks.append(Block(text, own, page.tags[stack[-1]], stack[-1], htmllib.unescape("".join(lead)).strip() if lead else ""))
+                page.blocks.append(Block(text, own, page.tags[stack[-1]], stack[-1]))
             parts.clear()
             linked.clear()
-        lead = []
 
     def close(k: int) -> None:
         nonlocal unseen
@@ -111,15 +102,6 @@ def read_page(source: str) -> Page:
             elif not unseen:
                 if links:
                     linked.append(run)
-                solid = not run.isspace()
-                if (bold or links) and (not said or only_lead):
-                    lead.append(run)
-                    only_lead = not gap
-                elif solid:
-                    only_lead = False
-                elif said:
-                    gap = True
-                said = said or solid
                 parts.append(run)
         if not m:
             break
@@ -131,8 +113,6 @@ def read_page(source: str) -> Page:
         if tag in INLINE:
             if tag == "a":
                 links = 0 if shut else 1
-            elif tag in ("b", "strong"):
-                bold = 0 if shut else 1
             continue
         flush()
         if tag in VOID:
@@ -161,7 +141,7 @@ def read_page(source: str) -> Page:
                     close(k)
                     if tag != "tr":
                         break
-        links = bold = 0
+        links = 0
         n = len(page.tags)
         page.parent.append(stack[-1]), page.tags.append(tag), page.first.append(len(page.blocks)), page.end.append(-1)
         stack.append(n)
@@ -184,9 +164,7 @@ def first_pass(page: Page) -> None:
         stops = sum(w in _STOPS for w in words) / n
         if density > 0.5:
             b.label = "bad"
-        elif b.lead and b.lead != b.text and (_COMMENT.match(b.lead) and b.text[len(b.lead) :].lstrip().startswith(":") or _PROMPT.match(b.lead)):
-            b.label = "bad"
-        elif n <= 12 and (_BYLINE.match(b.text) and (_DATE.search(b.text) or n <= 6) or _PROMPT.match(b.text)) or _AD.match(b.text) or n <= 4 and _DATE.search(b.text):
+        elif _AD.match(b.text) or n <= 4 and _DATE.search(b.text):
             b.label = "bad"
         elif b.tag in HEADINGS or n < 5:
             b.label = "open"
