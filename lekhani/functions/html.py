@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -13,9 +14,14 @@ from pyspark.sql import functions as F
 TAG = r"<[A-Za-z!/][^>]*>"
 # Result columns of extraction after the key columns.
 FIELDS = ["title", "description", "text", "comments", "author", "hostname", "sitename", "date", "categories", "tags", "fingerprint", "id", "license", "body", "commentsbody", "raw_text", "image", "pagetype"]
-SKIPPED = frozenset("script style noscript template nav aside footer header form button svg iframe select".split())
-BLOCKS = frozenset("p div section article main h1 h2 h3 h4 h5 h6 li ul ol table tr td th blockquote pre br hr dt dd dl figure figcaption body".split())
-VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+SKIPPED = frozenset(["script", "style", "noscript", "template", "nav", "aside", "footer", "form", "button", "svg", "iframe", "select"])
+BLOCKS = frozenset(["p", "div", "section", "article", "main", "header", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "table", "tr", "td", "th", "blockquote", "pre", "br", "hr", "dt", "dd", "dl", "figure", "figcaption", "body"])
+VOID = frozenset(["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"])
+#: Words in a container's class or id that tell what it holds.
+FURNITURE = re.compile(r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|sidebar|footer|share|sharing|social|related|breadcrumbs?|cookies?|advert|advertisement|ads?|promo|teasers?|newsletter|subscribe|popular|recommended)(?:$|[\s_-])", re.I)
+COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|replies|disqus)(?:$|[\s_-])", re.I)
+#: Kinds of what stands inside a container, the strongest first.
+FURNISHED, COMMENTED, ARTICLE, OTHER = range(4)
 
 
 def is_html(text: Column) -> Column:
@@ -24,55 +30,85 @@ def is_html(text: Column) -> Column:
 
 
 class _Reader(HTMLParser):
+    """Blocks of visible text with their link share and the kind of container
+    they stand in; metadata. Unclosed and stray tags are tolerated."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.blocks: list[tuple[str, int]] = []
+        self.blocks: list[tuple[str, int, int]] = []
         self.run: list[str] = []
-        self.linked = self.skip = self.links = 0
+        self.linked = self.links = 0
         self.title: list[str] = []
         self.in_title = False
         self.meta: dict[str, str] = {}
+        self.open: list[tuple[str, int]] = []
+
+    def _kind(self) -> int:
+        return self.open[-1][1] if self.open else OTHER
 
     def _end_block(self):
         text = " ".join("".join(self.run).split())
-        if text:
-            self.blocks.append((text, self.linked))
+        if text and self._kind() != FURNISHED:
+            self.blocks.append((text, self.linked, self._kind()))
         self.run, self.linked = [], 0
 
     def handle_starttag(self, tag, attrs):
+        a = {k: v or "" for k, v in attrs}
         if tag == "meta":
-            a = dict(attrs)
             key = (a.get("name") or a.get("property") or "").lower()
             if key and a.get("content"):
                 self.meta.setdefault(key, a["content"])
+        elif tag == "time" and a.get("datetime"):
+            self.meta.setdefault("time", a["datetime"])
+        elif tag in ("a", "link") and "license" in a.get("rel", "").lower().split() and a.get("href"):
+            self.meta.setdefault("license", a["href"])
         if tag in BLOCKS:
             self._end_block()
-        if tag in SKIPPED:
-            self.skip += 1
         self.in_title = tag == "title" or (self.in_title and tag in VOID)
-        self.links += tag == "a"
+        if tag == "a":
+            self.links += 1
+        if tag in VOID or tag == "a":
+            return
+        named = f"{a.get('class', '')} {a.get('id', '')}"
+        kind = self._kind()
+        if tag in SKIPPED or FURNITURE.search(named) or "hidden" in a:
+            kind = FURNISHED
+        elif COMMENTS.search(named):
+            kind = min(kind, COMMENTED)
+        elif tag in ("article", "main"):
+            kind = min(kind, ARTICLE)
+        self.open.append((tag, kind))
 
     def handle_endtag(self, tag):
         if tag in BLOCKS:
             self._end_block()
-        if tag in SKIPPED and self.skip:
-            self.skip -= 1
         if tag == "title":
             self.in_title = False
-        if tag == "a" and self.links:
-            self.links -= 1
+        if tag == "a":
+            self.links = max(0, self.links - 1)
+            return
+        for k in range(len(self.open) - 1, max(-1, len(self.open) - 40), -1):
+            if self.open[k][0] == tag:
+                if self.open[k][1] == FURNISHED:
+                    self.run, self.linked = [], 0
+                del self.open[k:]
+                break
 
     def handle_data(self, data):
         if self.in_title:
             self.title.append(data)
-        elif not self.skip:
+        elif self._kind() != FURNISHED:
             self.run.append(data)
             if self.links:
                 self.linked += len(data.strip())
 
 
 def extract(source: str | None, url: str | None = None) -> dict[str, str] | None:
-    """Metadata and main text of a page; null if there is no tag or no text."""
+    """Metadata and main text of a page; null if there is no tag or no text.
+
+    Blocks that are mostly links and containers named as page furniture are left
+    out; comments stand apart. Where the page marks its article, only that counts.
+    """
     if not source or not re.search(TAG, source):
         return None
     reader = _Reader()
@@ -82,26 +118,35 @@ def extract(source: str | None, url: str | None = None) -> dict[str, str] | None
     except (AssertionError, ValueError):
         return None
     reader._end_block()
-    kept = [t for t, linked in reader.blocks if linked <= len(t) / 2]
+    plain = [(t, kind) for t, linked, kind in reader.blocks if linked <= len(t) / 2]
+    article = [t for t, kind in plain if kind == ARTICLE]
+    comments = [t for t, kind in plain if kind == COMMENTED]
+    kept = article or [t for t, kind in plain if kind != COMMENTED]
     if not kept:
         return None
     meta = reader.meta
     host = re.sub(r"^[a-z]+://([^/?#:]+).*$", r"\1", url, flags=re.S) if url else None
-    out = {
+    words = re.findall(r"\w+", " ".join(kept).lower())
+    return {
         "title": " ".join("".join(reader.title).split()) or meta.get("og:title"),
         "description": meta.get("description") or meta.get("og:description"),
-        "author": meta.get("author"),
+        "author": meta.get("author") or meta.get("article:author"),
         "hostname": host,
-        "sitename": meta.get("og:site_name"),
-        "date": meta.get("article:published_time") or meta.get("date"),
-        "tags": meta.get("keywords"),
+        "sitename": meta.get("og:site_name") or meta.get("application-name"),
+        "date": meta.get("article:published_time") or meta.get("date") or meta.get("time"),
+        "categories": meta.get("article:section"),
+        "tags": meta.get("keywords") or meta.get("article:tag"),
+        # the same for pages whose text differs only in case, spacing and marks
+        "fingerprint": hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=8).hexdigest(),
+        "license": meta.get("license") or meta.get("dc.rights") or meta.get("copyright"),
         "image": meta.get("og:image"),
         "pagetype": meta.get("og:type"),
         "text": "\n".join(kept),
         "raw_text": " ".join(kept),
         "body": "\n".join(kept),
+        "comments": "\n".join(comments) or None,
+        "commentsbody": "\n".join(comments) or None,
     }
-    return out
 
 
 def extract_pages(df: DataFrame, keys: list[str], html_col: str = "text", url_col: str = "url") -> DataFrame:

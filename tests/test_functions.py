@@ -86,3 +86,57 @@ def test_votes_and_html(spark):
     got = H.extract("<html><head><title>T</title><meta name=author content=A></head><body><nav>menu</nav><p>Text one.</p><p><a>link</a></p></body>", "https://x.example/a")
     assert got["text"] == "Text one." and got["title"] == "T" and got["author"] == "A" and got["hostname"] == "x.example"
     assert H.extract("plain") is None
+
+
+def test_extraction_keeps_the_article_and_sets_comments_apart():
+    page = """<html><head><title>The &amp; title</title><meta property="article:section" content="News"><link rel="license" href="https://l.example/by"></head><body>
+    <div class="top-menu"><p>Home and more</p></div><main><h1>Head</h1><p>First <b>bold</b> text.</p><div class="share">Share it</div><time datetime="2020-01-02">x</time><p>Second one.</p></main>
+    <div id="comments"><p>A reader said so.</p></div><p>Stray text</p><footer>Foot</footer></body>"""
+    got = H.extract(page, "https://x.example/a")
+    assert got["text"] == "Head\nFirst bold text.\nx\nSecond one." and got["comments"] == "A reader said so."
+    assert (got["categories"], got["license"], got["date"], got["title"]) == ("News", "https://l.example/by", "2020-01-02", "The & title")
+    assert H.extract(page.replace("First", "FIRST"), None)["fingerprint"] == got["fingerprint"]
+    assert H.extract("<p>no end <div>and <p>more")["text"] == "no end\nand\nmore"
+
+
+def test_three_detectors_differ_and_vote(spark):
+    texts = ["यह घर में है और वह नहीं है।", "हे घर आहे आणि ते नाही.", "yeh ghar mein hai aur nahin tha", "The cat of the house is in it.", "চৰকাৰ আৰু নদী", "এই নদী এবং মাঠ", "12 !", "", "sarkaar bhaarat kheton dhoop"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "i int, text string")
+    codes = {"hindi": "hin", "marathi": "mar", "english": "eng", "bengali": "ben", "assamese": None}
+    rows = {r.i: r for r in L.identify(df, L.default_detectors(), codes, ["i"]).collect()}
+    assert [rows[i].doc_lang for i in range(6)] == ["hindi", "marathi", "hindi", "english", "assamese", "bengali"]
+    assert rows[6].doc_lang == rows[7].doc_lang == "other" and rows[9].doc_lang is None and rows[9].lang_per_model is None
+    assert rows[2].script_lang == "english" and rows[2].routed_script == "Latn" and rows[2].lang_per_model["words_lang"] == "hindi"
+    assert rows[8].routed_lang == "hindi"  # by letter pairs: no known word
+    assert rows[4].doc_lang_iso is None and rows[6].doc_lang_iso == "other"
+    assert L.identify_one(spark, texts[0], codes)["doc_lang"] == "hindi"
+
+
+def test_a_plugged_in_detector_votes(spark):
+    class Always(L.Detector):
+        name = "always"
+
+        def load(self):
+            self.loaded = True
+
+        def predict(self, texts):
+            return [("marathi", 1.0)] * len(texts)
+
+    df = spark.createDataFrame([("यह घर है",), (None,)], "text string")
+    got = L.identify(df, [L.ScriptDetector(), Always(), L.WordDetector()], {"hindi": "hin", "marathi": "mar"}, ["text"]).collect()
+    assert {(r.always_lang, r.doc_lang) for r in got} == {("marathi", "hindi"), (None, None)}
+
+
+def test_normalisation_rules(spark):
+    from lekhani.functions import normalize as U
+
+    df = spark.createDataFrame([("कफ़ी| ‌अ:", "hindi"), ("“ﬁ”­…", "english"), ("কো", "bengali"), (None, "tamil"), ("a|b", None)], "t string, l string")
+    got = [r.v for r in df.select(U.normalize(F.col("t"), F.col("l")).alias("v")).collect()]
+    assert got == ["कफ़ी। अः", "“fi”­...", "কো", None, "a|b"]
+
+
+def test_sentence_plug_in(spark):
+    texts = ["Dr. Rao came. He left! \"Yes.\" It was 3.5 m. A. B. Shah spoke", "यह है। वह है।", "", None]
+    assert value(spark, T.split_at_terminal, *texts)[:2] == [["Dr. Rao came.", "He left!", '"Yes."', "It was 3.5 m.", "A. B. Shah spoke"], ["यह है।", "वह है।"]]
+    own = lambda t, lang: t.split(",")
+    assert value(spark, lambda t: T.split_by(own, t, F.lit("x")), "a,b", None) == [["a", "b"], None]
