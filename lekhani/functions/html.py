@@ -35,13 +35,14 @@ class _Reader(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.blocks: list[tuple[str, int, int]] = []
+        self.blocks: list[tuple[str, int, int, tuple[int, ...]]] = []
         self.run: list[str] = []
         self.linked = self.links = 0
         self.title: list[str] = []
         self.in_title = False
         self.meta: dict[str, str] = {}
-        self.open: list[tuple[str, int]] = []
+        self.open: list[tuple[str, int, int]] = []
+        self.count = 0
 
     def _kind(self) -> int:
         return self.open[-1][1] if self.open else OTHER
@@ -49,7 +50,9 @@ class _Reader(HTMLParser):
     def _end_block(self):
         text = " ".join("".join(self.run).split())
         if text and self._kind() != FURNISHED:
-            self.blocks.append((text, self.linked, self._kind()))
+            # the containers around the block's own element, the nearest first, as far as they may count
+            around = tuple(n for tag, _, n in self.open[-2:-12:-1] if tag not in ("body", "html"))
+            self.blocks.append((text, self.linked, self._kind(), around))
         self.run, self.linked = [], 0
 
     def handle_starttag(self, tag, attrs):
@@ -64,6 +67,9 @@ class _Reader(HTMLParser):
             self.meta.setdefault("license", a["href"])
         if tag in BLOCKS:
             self._end_block()
+            # these end where the next block, or one like them, begins
+            if self.open and (self.open[-1][0] == "p" or (self.open[-1][0] == tag and tag in ("li", "tr", "td", "th", "dt", "dd"))):
+                self.open.pop()
         self.in_title = tag == "title" or (self.in_title and tag in VOID)
         if tag == "a":
             self.links += 1
@@ -77,7 +83,8 @@ class _Reader(HTMLParser):
             kind = min(kind, COMMENTED)
         elif tag in ("article", "main"):
             kind = min(kind, ARTICLE)
-        self.open.append((tag, kind))
+        self.count += 1
+        self.open.append((tag, kind, self.count))
 
     def handle_endtag(self, tag):
         if tag in BLOCKS:
@@ -103,11 +110,25 @@ class _Reader(HTMLParser):
                 self.linked += len(data.strip())
 
 
+def _fullest(blocks: list[tuple[str, tuple[int, ...]]]) -> list[str]:
+    """The blocks in the container with most text: a block counts whole for the
+    container it stands in and half for the one around that."""
+    score: dict[int, float] = {}
+    for text, around in blocks:
+        for n, weight in zip(around, (1.0, 0.5)):
+            score[n] = score.get(n, 0.0) + weight * len(text)
+    best = max(score, key=lambda n: (score[n], -n), default=None)
+    inside = [text for text, around in blocks if best in around]
+    # text that stands in no container, or scattered over many, is taken whole
+    return inside if 4 * sum(map(len, inside)) >= sum(len(t) for t, _ in blocks) else [t for t, _ in blocks]
+
+
 def extract(source: str | None, url: str | None = None) -> dict[str, str] | None:
     """Metadata and main text of a page; null if there is no tag or no text.
 
     Blocks that are mostly links and containers named as page furniture are left
-    out; comments stand apart. Where the page marks its article, only that counts.
+    out; comments stand apart. Where the page marks its article, only that
+    counts, else the container with most text.
     """
     if not source or not re.search(TAG, source):
         return None
@@ -118,10 +139,10 @@ def extract(source: str | None, url: str | None = None) -> dict[str, str] | None
     except (AssertionError, ValueError):
         return None
     reader._end_block()
-    plain = [(t, kind) for t, linked, kind in reader.blocks if linked <= len(t) / 2]
-    article = [t for t, kind in plain if kind == ARTICLE]
-    comments = [t for t, kind in plain if kind == COMMENTED]
-    kept = article or [t for t, kind in plain if kind != COMMENTED]
+    plain = [(t, kind, around) for t, linked, kind, around in reader.blocks if linked <= len(t) / 2]
+    article = [t for t, kind, _ in plain if kind == ARTICLE]
+    comments = [t for t, kind, _ in plain if kind == COMMENTED]
+    kept = article or _fullest([(t, around) for t, kind, around in plain if kind != COMMENTED])
     if not kept:
         return None
     meta = reader.meta
