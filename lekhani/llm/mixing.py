@@ -19,6 +19,8 @@ from lekhani.session import cut_lineage
 
 #: Tokens that one range bucket of a source holds on average.
 BUCKET_TOKENS = 2_000_000
+#: Targets are a configuration table and are broadcast.
+MAX_TARGETS = 10_000
 
 
 def _unit(key: Column) -> Column:
@@ -72,11 +74,15 @@ def mix(sizes: DataFrame, plan: DataFrame, seed: int = 17, bucket_tokens: int =
 
     ``take_tokens`` is below ``n_tokens`` only for the document on a source's
     cut. Documents without tokens are left out. Ties of the hash key go by
-    doc_id; repeated rows of a document count as separate documents.
+    doc_id; repeated rows of a document count as separate documents. More than
+    MAX_TARGETS sources with a budget raise ValueError.
     """
     # xxhash64 of equal rows is equal; what else tells them apart is their place in the ordering, so ties are harmless
     keyed = sizes.where("n_tokens > 0").withColumn("key", F.xxhash64(F.lit(seed), "source", "doc_id"))
-    keyed = keyed.join(F.broadcast(plan.where("budget > 0").select("source", "tokens", "epochs", "rest")), "source")  # targets: a configuration table
+    wanted = plan.where("budget > 0").select("source", "tokens", "epochs", "rest")
+    if wanted.limit(MAX_TARGETS + 1).count() > MAX_TARGETS:
+        raise ValueError("too many mixture targets")
+    keyed = keyed.join(F.broadcast(wanted), "source")
     buckets = F.greatest(F.lit(1), F.ceil(F.col("tokens") / bucket_tokens))
     keyed = keyed.withColumn("bucket", F.floor(_unit(F.col("key")) * buckets).cast("long")).withColumn("key", F.shiftrightunsigned("key", 11))
     sums = keyed.groupBy("source", "bucket").agg(F.sum("n_tokens").alias("bucket_sum"))
