@@ -386,7 +386,7 @@ def ordered_lines(df: DataFrame, doc_col: str = "doc_id", book_col: str = "ident
     base = df.select(F.col(doc_col).cast("string").alias("_doc"), F.col(book_col).cast("string").alias("_book"), place.alias("_place"), F.col(text_col).alias("_text"), F.regexp_replace(F.col(name_col), r"\.[a-z]+$", "").alias("_name"))
     base = base.where("_doc is not null and _text is not null and trim(_text) != ''").withColumn("_h", F.xxhash64("_text")).dropDuplicates(["_doc", "_h"])
     weights = train_line_pairs(base)
-    keyed = page_groups(base)
+    keyed = page_groups(base, rows=df.select(F.col(book_col).cast("string").alias("_book"), place.alias("_place")))
     keyed = keyed.repartition("_book", "_group").sortWithinPartitions("_book", "_group", "_place", "_at", "_doc")
 
     def run_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -408,7 +408,7 @@ def ordered_lines(df: DataFrame, doc_col: str = "doc_id", book_col: str = "ident
     return keyed.mapInArrow(run_, "doc string, line_no int, kind string, words array<string>, left string, right string, sign string, to_doc string, to_line int")
 
 
-def page_groups(base: DataFrame, most: int | None = None) -> DataFrame:
+def page_groups(base: DataFrame, most: int | None = None, rows: DataFrame | None = None) -> DataFrame:
     """(_book, _group, _place, _at, _doc, _own, _name, _text): every page in its own
     group (_own), and copies in the groups that need it as a neighbour.
 
@@ -418,6 +418,9 @@ def page_groups(base: DataFrame, most: int | None = None) -> DataFrame:
     hash that orders its pages; the pages next to a range's ends are copied to
     the ranges and places beside it. So groups are bounded and every page sees
     the HALO pages before and after it, whatever the book's size.
+
+    ``rows`` (_book, _place), repeated rows included, are what is counted first,
+    so that the texts need not be read to see that no book is crowded.
     """
     most = GROUP_PAGES if most is None else most
     lone = F.col("_book").isNull() | F.col("_place").isNull()
@@ -425,8 +428,7 @@ def page_groups(base: DataFrame, most: int | None = None) -> DataFrame:
     single = base.where(lone).select(F.concat(F.lit("\u0000"), "_doc").alias("_book"), F.lit("").alias("_group"), "_place", "_at", "_doc", F.lit(True).alias("_own"), "_name", "_text")
     placed = base.where(~lone)
     run = F.floor(F.col("_place") / RUN)
-    sizes = placed.groupBy("_book", "_place").agg(F.count("*").alias("_n"))
-    crowded = sizes.groupBy("_book", run.alias("_run")).agg(F.sum("_n").alias("_n")).where(F.col("_n") > most).select("_book").distinct()
+    crowd = lambda df: df.groupBy("_book", run.alias("_run")).agg(F.count("*").alias("_n")).where(F.col("_n") > most).select("_book").distinct()
 
     def copies(df: DataFrame, targets: Column) -> DataFrame:
         return df.withColumn("_t", F.explode(targets)).select("_book", F.col("_t.group").alias("_group"), "_place", "_at", "_doc", F.col("_t.own").alias("_own"), "_name", "_text")
@@ -434,8 +436,10 @@ def page_groups(base: DataFrame, most: int | None = None) -> DataFrame:
     to = lambda group, own: F.struct(group.cast("string").alias("group"), F.lit(own).alias("own"))
     offset = F.col("_place") - run * RUN
     runs = F.array_compact(F.array(to(run, True), F.when(offset < HALO, to(run - 1, False)), F.when(offset >= RUN - HALO, to(run + 1, False))))
-    if crowded.isEmpty():
+    if crowd((base if rows is None else rows).where(~lone)).isEmpty():
         return copies(placed, runs).union(single)
+    sizes = placed.groupBy("_book", "_place").agg(F.count("*").alias("_n"))
+    crowded = crowd(placed)
     calm = placed.join(crowded, "_book", "left_anti")
     # ranges of the hash within a place, about half of the most pages each
     ranges = sizes.join(crowded, "_book", "left_semi").withColumn("_ranges", F.ceil(F.col("_n") * 2 / F.lit(most)))
