@@ -1,8 +1,11 @@
 """DuckDB statements for the queries that SQL can express."""
 
+from lekhani.functions import text as T
+from lekhani.llm.repetition import STOP_WORDS
+
 _SPACE = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
-from lekhani.llm.repetition import STOP_WORDS
+_BLANK = r"[\s\x{0b}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 _STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
 _FOUND = r"""d AS (SELECT DISTINCT doc_id, text, nullif(regexp_replace(regexp_extract(lower(trim(url)), '^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)', 1), '^(www|m)\.|\.$', '', 'g'), '') AS site FROM extracted WHERE doc_id IS NOT NULL),
@@ -27,4 +30,16 @@ SELECT doc_id, n::BIGINT AS n_words, covered::BIGINT AS repeated_words, round(sh
     "p3_found": f"WITH {_FOUND} SELECT doc_id, line_no FROM found",
     "p3_clean": f"""WITH {_FOUND}, cut AS (SELECT doc_id, list(line_no) AS nos FROM found GROUP BY doc_id)
 SELECT e.doc_id, CASE WHEN nos IS NULL THEN text ELSE array_to_string(list_filter(string_split(text, chr(10)), lambda x, i: NOT list_contains(nos, (i - 1)::INT)), chr(10)) END AS text, coalesce(len(nos), 0)::BIGINT AS lines_removed FROM extracted e LEFT JOIN cut USING (doc_id)""",
+    "p6_repetition": rf"""WITH x AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM cleaned),
+w AS (SELECT *, list_filter(list_transform(regexp_split_to_array(lower(text), '{_SPACE}+'), lambda y: regexp_replace(y, '^[\p{{P}}\p{{S}}]+|[\p{{P}}\p{{S}}]+$', '', 'g')), lambda y: y != '') AS w,
+list_filter(list_transform(regexp_split_to_array(text, '\r\n|\n|\r'), lambda y: regexp_replace(y, '^{_BLANK}+|{_BLANK}+$', '', 'g')), lambda y: y != '') AS l, list_filter(regexp_split_to_array(text, '\n[\s\x{{0b}}]*\n'), lambda y: trim(y, ' ') != '') AS p FROM x),
+grams AS (SELECT row, k, array_to_string(w[i:i + k - 1], ' ') AS g FROM (SELECT row, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM w, (SELECT unnest([2, 3, 4]) AS k) WHERE len(w) >= k)),
+counts AS (SELECT row, k, g, count(*) AS n FROM grams GROUP BY ALL),
+tops AS (SELECT row, k, max(length(g) * n) FILTER (WHERE n = most AND n > 1) AS chars FROM (SELECT *, max(n) OVER (PARTITION BY row, k) AS most FROM counts) GROUP BY row, k),
+top AS (SELECT row, max(chars) FILTER (WHERE k = 2) AS c2, max(chars) FILTER (WHERE k = 3) AS c3, max(chars) FILTER (WHERE k = 4) AS c4 FROM tops GROUP BY row)
+SELECT doc_id, len(string_split(text, ' '))::BIGINT AS words_count, length(text)::BIGINT AS chars_count, round((len(regexp_extract_all(text, '[^{T.VALID_CLASS} \n]')) / nullif(length(text), 0))::FLOAT::DOUBLE, 5) AS symbol_ratio,
+round(coalesce(length(array_to_string(w, '')) / nullif(len(w), 0), 0), 6) AS mean_word_length, round(coalesce(len(list_filter(w, lambda y: y IN ({_STOPS}))) / nullif(len(w), 0), 0), 6) AS common_word_share,
+round(coalesce(len(list_filter(l, lambda y: regexp_matches(y, '[.!?।॥۔؟…。！？]["''”’»)\]]*$'))) / nullif(len(l), 0), 0), 6) AS ended_line_share,
+round(coalesce((len(l) - len(list_distinct(l))) / nullif(len(l), 0), 0), 6) AS repeated_line_share, round(coalesce((len(p) - len(list_distinct(p))) / nullif(len(p), 0), 0), 6) AS repeated_paragraph_share,
+round(coalesce(c2 / nullif(length(array_to_string(w, ' ')), 0), 0), 6) AS top_2_gram_share, round(coalesce(c3 / nullif(length(array_to_string(w, ' ')), 0), 0), 6) AS top_3_gram_share, round(coalesce(c4 / nullif(length(array_to_string(w, ' ')), 0), 0), 6) AS top_4_gram_share FROM w LEFT JOIN top USING (row)""",
 }

@@ -114,6 +114,13 @@ def p6_statistics(spark, d):
     return quality.text_statistics(_table(spark, d, "cleaned"))
 
 
+def p6_repetition(spark, d):
+    """The statistics of ``p6_statistics`` but the kinds of lines, which SQL can check."""
+    out = quality.text_statistics(_table(spark, d, "cleaned"))
+    shares = ["mean_word_length", "common_word_share", "ended_line_share", "repeated_line_share", "repeated_paragraph_share", "top_2_gram_share", "top_3_gram_share", "top_4_gram_share"]
+    return out.select("doc_id", *[F.col(c).cast("bigint").alias(c) for c in ("words_count", "chars_count")], F.round(F.col("symbol_ratio").cast("double"), 5).alias("symbol_ratio"), *[F.round(c, 6).alias(c) for c in shares])
+
+
 def _scored(spark, d):
     docs = _table(spark, d, "documents")
     model = toxicity.train(docs, _table(spark, d, "toxic_labels"), _table(spark, d, "flag_terms"))
@@ -134,5 +141,5 @@ def p5_rates(spark, d):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_repetition, p2_found, p2_pages, p3_found, p3_clean, p4_found, p4_text, p5_found, p5_scores, p5_rates, p6_found, p6_statistics, p7_found, p7_documents, p8_ids, p9_mixture, p9_shares, p10_pieces)
+    for f in (p1_found, p1_repetition, p2_found, p2_pages, p3_found, p3_clean, p4_found, p4_text, p5_found, p5_scores, p5_rates, p6_found, p6_statistics, p6_repetition, p7_found, p7_documents, p8_ids, p9_mixture, p9_shares, p10_pieces)
 }
