@@ -348,9 +348,9 @@ def training_documents(df: DataFrame, names: DataFrame, text_col: str, label_col
     labelled = labelled.withColumn("h", F.xxhash64("text"))
     # labels are names of the table of languages, a few hundred at most
     counts = {r.label: (r.sure, r.n) for r in labelled.groupBy("label").agg(F.count_if("sure").alias("sure"), F.count("*").alias("n")).collect()}
-    if not counts:
-        raise ValueError("no labelled text to learn from")
     span = 1_000_003
+    if not counts:
+        return labelled.select("label", F.lit(1.0).alias("weight"), "h", "text")
     rules = F.create_map(*[F.lit(x) for k, (sure, n) in sorted(counts.items()) for x in (k, min(span, int(span * 1.3 * per_label / (sure or n)) + 1))])
     split = [k for k, (sure, _) in counts.items() if not sure]
     some = labelled.where((F.col("sure") | F.col("label").isin(split)) & (F.pmod("h", F.lit(span)) < rules[F.col("label")]))
@@ -365,8 +365,8 @@ def train(df: DataFrame, names: DataFrame, text_col: str = "text", label_cols: t
     ``TRAIN_PARTS`` parts per label); only the centroids reach the driver.
 
     The sample is bounded in documents and parts: ``per_label`` documents of
-    each label, see ``training_documents``. Raises ValueError if no text has a
-    label and letters.
+    each label, see ``training_documents``. Where no text has a label and
+    letters the model knows no language, and all parts are ``unknown`` to it.
     """
     docs = training_documents(df, names, text_col, label_cols, per_label)
 
@@ -405,8 +405,6 @@ def train(df: DataFrame, names: DataFrame, text_col: str = "text", label_cols: t
         return group.iloc[:1][["script"]].assign(voice=[whole])
 
     found = [pickle.loads(r.voice) for r in parts.groupBy("script").applyInPandas(learn, "script int, voice binary").collect()]
-    if not found:
-        raise ValueError("no labelled text to learn from")
     languages = sorted({x for _, owner, _ in found for x in owner})
     for _, owner, voice in found:
         voice.owner = np.array([languages.index(x) for x in owner])

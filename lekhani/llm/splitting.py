@@ -235,7 +235,7 @@ def split_long_texts(df: DataFrame, sizes: list[tuple[str, int, int]], id_col: s
 
 def _pieces(bpe: PrefixBpe, texts: list[str], ids: pa.Array, names: list[str], most: np.ndarray, overlap: np.ndarray) -> pa.RecordBatch | None:
     """All pieces of some texts in all sizes, ordered by text, size and place."""
-    found = boundaries(bpe, texts, min(LONG_WORD, int((most - overlap).min())))
+    found = boundaries(bpe, texts, int((most - overlap).min(initial=LONG_WORD)))
     tok, char, begin = found.tok, found.char, found.begin
     length = tok[begin[1:]] - tok[begin[:-1]]
     doc, size = np.nonzero(length[:, None] > most[None, :])

@@ -92,10 +92,12 @@ def test_very_long_texts(model):
 
 
 def test_nothing_to_learn_from(spark, names):
-    with pytest.raises(ValueError):
-        language.train(spark.createDataFrame([], LID), names)
-    with pytest.raises(ValueError):
-        language.train(spark.createDataFrame([("a", "en", "12", None), ("b", None, "words", None)], LID), names)
+    for rows in ([], [("a", "en", "12", None), ("b", None, "words", None)]):
+        df = spark.createDataFrame(rows, LID)
+        none = language.train(df, names)
+        assert none.languages == []
+        got = language.line_languages(df.withColumn("named", df.language), none, ["doc_id", "named"])
+        assert {r.lang for r in got.collect()} <= {"unknown"} and language.foreign_lines(got).count() == 0
     only = language.train(spark.createDataFrame([("a", "en", "the cat sat on the mat", None)], LID).drop("lang_per_model"), names)
     assert only.languages == ["english"]
 
