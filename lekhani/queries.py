@@ -565,7 +565,8 @@ def _scratch(spark) -> str:
 def partitioned_write(spark, d):
     root = _scratch(spark)
     sinks.write_by_language(table(spark, d, "lid").where("doc_lang is not null").select("doc_id", "doc_lang"), root)
-    return spark.read.parquet(root).groupBy("doc_lang").agg(F.count("*").alias("n"))
+    # an empty table leaves no file to take the schema from
+    return spark.read.schema("doc_id string, doc_lang string").parquet(root).groupBy("doc_lang").agg(F.count("*").alias("n"))
 
 
 @query("SELECT doc_lang AS folder, count(*) AS n FROM lid WHERE doc_lang IS NOT NULL GROUP BY doc_lang")
@@ -574,7 +575,7 @@ def renamed_folders(spark, d):
     sinks.write_by_language(table(spark, d, "lid").where("doc_lang is not null").select("doc_id", "doc_lang"), root)
     sinks.plain_partition_names(root, spark, "doc_lang_partition")
     folder = F.regexp_extract(F.input_file_name(), r"/([^/]+)/[^/]+$", 1)
-    return spark.read.parquet(f"{root}/*").groupBy(folder.alias("folder")).agg(F.count("*").alias("n"))
+    return spark.read.schema("doc_id string, doc_lang string").option("recursiveFileLookup", True).parquet(root).groupBy(folder.alias("folder")).agg(F.count("*").alias("n"))
 
 
 @query("SELECT doc_id, url, source, 'english' AS language, coalesce(html, text) AS text, timestamp FROM raw_crawl")
