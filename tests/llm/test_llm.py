@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from lekhani.llm import encode, language, mixing, ocr, pagebody, quality, queries, repetition, sitelines, splitting, toxicity
+from lekhani.llm import encode, mixing, ocr, pagebody, quality, queries, repetition, sitelines, splitting, toxicity
 
 tiktoken = pytest.importorskip("tiktoken")
 
