@@ -620,11 +620,16 @@ def candidate_features(word: pd.Series, n: pd.Series, right: pd.Series, n_right:
     return out
 
 
-def train_ranker(vocabulary: DataFrame, seed: int = 11) -> Trees | None:
+def train_ranker(vocabulary: DataFrame, pairs: DataFrame, seed: int = 11) -> Trees | None:
     """Boosted trees from noised known words (right answer known) and from real
-    rarer words (no answer right). The candidates come from the same join."""
+    rarer words (no answer right). The candidates come from the same join.
+
+    In a large corpus misreadings are seen as often as real words in a small
+    one, so no count tells which words are real. Those without a candidate in
+    ``pairs`` (the vocabulary's own) are no misreadings at any size."""
     spark = vocabulary.sparkSession
-    words = vocabulary.where((F.col("n") >= 4 * KNOWN_COUNT) & (F.length("word") >= 3)).orderBy(F.xxhash64("word")).limit(TRAIN_WORDS).collect()
+    sound = vocabulary.join(pairs.select("word").distinct(), "word", "left_anti")
+    words = sound.where((F.col("n") >= 4 * KNOWN_COUNT) & (F.length("word") >= 3)).orderBy(F.xxhash64("word")).limit(TRAIN_WORDS).collect()
     if len(words) < 20:
         return None
     rng = random.Random(seed)
@@ -636,7 +641,7 @@ def train_ranker(vocabulary: DataFrame, seed: int = 11) -> Trees | None:
             bad = noised(r.word, rng).strip(".'")
             if bad not in known and len(bad) >= 2:
                 rows[bad] = (bad, max(1, int(r.n * 10 ** rng.uniform(-3.5, -1.7))), r.word)
-    real = vocabulary.where((F.col("n") >= KNOWN_COUNT) & (F.length("word") >= 3)).orderBy(F.xxhash64(F.lit("real"), "word")).limit(TRAIN_WORDS).collect()
+    real = sound.where((F.col("n") >= KNOWN_COUNT) & (F.length("word") >= 3)).orderBy(F.xxhash64(F.lit("real"), "word")).limit(TRAIN_WORDS).collect()
     # seldom seen real words look as rare as misreadings do
     rows |= {r.word: (r.word, max(1, r.n // rng.choice((1, 1, 4, 20))), None) for r in real if r.n >= 4 * KNOWN_COUNT or r.word not in rows}
     made = spark.createDataFrame(list(rows.values()), "word string, n long, truth string")
@@ -655,8 +660,8 @@ def train_ranker(vocabulary: DataFrame, seed: int = 11) -> Trees | None:
 
 def corrections(vocabulary: DataFrame) -> DataFrame:
     """(word, right): misread words of the vocabulary and what they should be."""
-    model = train_ranker(vocabulary)
-    pairs = correction_candidates(vocabulary, vocabulary)
+    pairs = cut_lineage(correction_candidates(vocabulary, vocabulary))
+    model = train_ranker(vocabulary, pairs)
     if model is None:
         return pairs.select("word", "right").limit(0)
     shared = vocabulary.sparkSession.sparkContext.broadcast(model)

@@ -81,3 +81,21 @@ def test_vocabulary_of_no_words(spark):
     none = spark.createDataFrame([], "word string, n long")
     assert ocr.correction_candidates(none, none).count() == 0
     assert ocr.corrections(none.select("word", F.col("n"))).count() == 0
+
+
+def test_misreadings_are_found_however_often_they_were_seen(spark):
+    """The same words and shares, a hundred times the corpus: the same corrections."""
+    rng = random.Random(9)
+    parts = ["ba", "de", "mi", "no", "ru", "wen", "hal", "sid", "tor", "gam"]
+    real = {"".join(rng.choice(parts) for _ in range(rng.randrange(2, 5))): rng.randrange(2000, 20_000) for _ in range(400)}
+    counts, truth = dict(real), {}
+    for w, n in real.items():
+        for a, b in (("m", "rn"), ("d", "cl"), ("n", "ri"), ("w", "vv"), ("e", "c"), ("o", "0")):
+            bad = w.replace(a, b, 1)
+            if len(w) >= 5 and bad not in counts:
+                counts[bad], truth[bad] = max(1, n // 300), w
+    for times in (1, 100):
+        vocabulary = spark.createDataFrame([(w, n * times) for w, n in counts.items()], "word string, n long")
+        got = {r.word: r.right for r in ocr.corrections(vocabulary).collect()}
+        found = sum(got.get(w) == r for w, r in truth.items())
+        assert found >= 0.97 * len(truth) and not got.keys() & real.keys(), (times, found, len(truth), len(got))
